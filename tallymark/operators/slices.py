@@ -1,0 +1,80 @@
+"""Running totals in groups too large for one task.
+
+A window over a group runs in one task.  A group above the row limit is therefore
+cut into slices that follow the order of the window: each slice is a window of its
+own, and the total of the slices before it is added afterwards.  The cuts come from
+a hash sample of the group's rows, so they depend on the data alone and every pass
+over the rows sees the same slices.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+SAMPLES_PER_SLICE = 64
+HASH_RANGE = 1 << 30
+
+
+@dataclass(frozen=True)
+class Slices:
+    """``rows`` with a slice number, and the total before each slice of a cut group."""
+
+    rows: DataFrame
+    offsets: DataFrame | None
+
+
+def order_key(order: Sequence[str]) -> Column:
+    return F.struct(*[F.col(name) for name in order])
+
+
+def slice_hot_groups(
+    rows: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    amount: str,
+    *,
+    group_rows: DataFrame,
+    max_rows: int,
+    max_slices: int,
+) -> Slices:
+    """Number the slices of hot groups; a group within the limit stays whole (slice 0).
+
+    ``group_rows`` holds the row count (``rows``) per group.  The limit rises with the
+    data so that there are about ``max_slices`` cuts at most, which bounds what is
+    broadcast.  Two small aggregates are read here to decide whether anything is hot.
+    """
+    facts = group_rows.agg(F.max("rows").alias("largest"), F.sum("rows").alias("all")).first()
+    limit = max(max_rows, (facts["all"] or 0) // max_slices)
+    if (facts["largest"] or 0) <= limit:
+        return Slices(rows.withColumn("slice", F.lit(0)), None)
+
+    hot = group_rows.filter(F.col("rows") > limit).select(*group)
+    hot_rows = rows.join(F.broadcast(hot), list(group), "left_semi")
+
+    rate = min(1.0, SAMPLES_PER_SLICE / limit)
+    stride = max(1, int(rate * limit))
+    chosen = F.pmod(F.xxhash64(*group, *order), F.lit(HASH_RANGE)) < int(rate * HASH_RANGE)
+    sample = hot_rows.filter(chosen).groupBy(*group).agg(F.sort_array(F.collect_list(order_key(order))).alias("sample"))
+    cuts = sample.select(
+        *group,
+        F.filter("sample", lambda _, i: F.pmod(i + 1, F.lit(stride)) == 0).alias("cuts"),
+    )
+
+    key = order_key(order)
+    number = F.size(F.filter("cuts", lambda cut: cut < key))
+    numbered = rows.join(F.broadcast(cuts), list(group), "left").withColumn(
+        "slice", F.when(F.col("cuts").isNull(), 0).otherwise(number)
+    ).drop("cuts")
+
+    totals = (
+        numbered.join(F.broadcast(hot), list(group), "left_semi")
+        .groupBy(*group, "slice")
+        .agg(F.sum(amount).alias("_total"))
+    )
+    before = Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*group, "slice", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("offset"))
+    return Slices(numbered, offsets)
