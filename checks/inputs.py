@@ -78,6 +78,10 @@ VIEWS: dict[str, str] = {
 }
 
 
+LINEITEM = """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+    l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"""
+
+
 def common_tables(*names: str) -> str:
     """The named views as common table expressions, after ``fx_base``."""
     wanted = dict.fromkeys(("fx_base", *names))
@@ -86,7 +90,7 @@ def common_tables(*names: str) -> str:
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived view as a Spark DataFrame."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lineitem = spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
     text = common_tables(name).replace("from lineitem", "from {lineitem}")
     return spark.sql(f"with {text} select * from {name}", lineitem=lineitem)
 

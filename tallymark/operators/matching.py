@@ -57,18 +57,15 @@ def daily_matches(left_days: DataFrame, right_days: DataFrame, block: Sequence[s
     )
     by_time = Window.partitionBy(*block).orderBy("day", "side")
     by_depth = Window.partitionBy(*block).orderBy("depth")
-    walk = (
-        changes.withColumn("depth", F.sum("change").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("level", F.dense_rank().over(by_depth))
-        .withColumn("previous", F.lag("level").over(by_time))
+    depths = changes.withColumn(
+        "depth", F.sum("change").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-
-    by_level = Window.partitionBy(*block).orderBy("level")
     bands = (
-        walk.groupBy(*block, "level", "depth").agg(F.count(F.lit(1)).alias("_visits"))
-        .select(*block, F.col("level").alias("band"), F.col("depth").alias("bottom"), F.lead("depth").over(by_level).alias("top"))
+        depths.select(*block, "depth").distinct()
+        .select(*block, F.col("depth").alias("bottom"), F.row_number().over(by_depth).alias("band"), F.lead("depth").over(by_depth).alias("top"))
         .filter(F.col("top").isNotNull())
     )
+    walk = depths.withColumn("level", F.dense_rank().over(by_depth)).withColumn("previous", F.lag("level").over(by_time))
     covered = (
         walk.filter(F.col("previous").isNotNull() & (F.col("previous") != F.col("level")))
         .select(
