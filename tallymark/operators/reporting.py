@@ -14,6 +14,8 @@ from tallymark.functions.values import day_text, sum_or_zero
 PASS, FAIL = "PASS", "FAIL"
 DETAIL, TOTAL = "DETAIL", "TOTAL"
 KIND = "Row Kind"
+# Column that tells repeated lines apart while a report is sorted; not printed.
+COPY_NO = "copy_no"
 
 
 @dataclass(frozen=True)

@@ -45,12 +45,14 @@ def slice_hot_groups(
 
     ``group_rows`` holds the row count (``rows``) per group.  The limit rises with the
     data so that there are about ``max_slices`` cuts at most, which bounds what is
-    broadcast.  Two small aggregates are read here to decide whether anything is hot.
+    broadcast.  Two counts are read here to decide whether anything is hot; the second
+    only if there are more rows than one group may have.
     """
-    facts = group_rows.agg(F.max("rows").alias("largest"), F.sum("rows").alias("all")).first()
-    limit = max(max_rows, (facts["all"] or 0) // max_slices)
-    if (facts["largest"] or 0) <= limit:
-        return Slices(rows.withColumn("slice", F.lit(0)), None)
+    whole = Slices(rows.withColumn("slice", F.lit(0)), None)
+    count = rows.count()
+    limit = max(max_rows, count // max_slices)
+    if count <= limit or group_rows.agg(F.max("rows")).first()[0] <= limit:
+        return whole
 
     hot = group_rows.filter(F.col("rows") > limit).select(*group)
     hot_rows = rows.join(F.broadcast(hot), list(group), "left_semi")

@@ -41,15 +41,18 @@ def split_runs(
     )
 
 
-def repeat_rows(df: DataFrame, copies: str, spread_by: Sequence[str]) -> DataFrame:
-    """Repeat each row ``copies`` times and drop that column.
+def repeat_rows(df: DataFrame, copies: str, spread_by: Sequence[str], copy_no: str | None = None) -> DataFrame:
+    """Repeat each row ``copies`` times, dropping that column; ``copy_no`` tells copies apart.
 
     Runs are shuffled before they are expanded, so the copies of one row are made
     by many tasks.
     """
+    kept = df.drop(copies).columns
     runs = split_runs(df, copies, run_no="_run", first_unit="_first", units="_units")
     spread = runs.repartition(*spread_by, "_run")
-    return spread.withColumn("_one", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_units")))).select(*df.drop(copies).columns)
+    numbers = F.sequence(F.col("_first") + 1, F.col("_first") + F.col("_units"))
+    numbered = spread.withColumn("_copy", F.explode(numbers))
+    return numbered.select(*kept, *([F.col("_copy").alias(copy_no)] if copy_no else []))
 
 
 def explode_units(df: DataFrame, keys: Sequence[str], quantity: str, unit_no: str = "unit_no") -> DataFrame:

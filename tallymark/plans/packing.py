@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.keys import SHIPMENT_ID_LENGTH, first_chars
-from tallymark.functions.values import days_between, or_zero, text_or, us_day
+from tallymark.functions.values import days_between, or_zero, sum_or_zero, text_or, us_day
 from tallymark.operators.grouping import sum_by
+from tallymark.operators.staging import stage
 from tallymark.plans.shipments import RECEIPTS
 
 KEYS = ["fba_id", "sku_id"]
@@ -68,9 +69,15 @@ def packing_vs_receipts_dated(
 
 
 def reconcile(packing: DataFrame, ledger: DataFrame, date_pattern: str = "M/d/yyyy", strict: bool = True) -> dict[str, DataFrame]:
-    packed = packing_lines(packing)
-    received = receipt_lines(ledger)
+    """Both reports, from lines that are added up and staged once."""
+    packed = stage(_compact(packing_lines(packing), "bl_date", "total_qty"), "packed")
+    received = stage(_compact(receipt_lines(ledger), "date_text", "quantity"), "receipts")
     return {
         "packing_vs_receipts": packing_vs_receipts(packed, received),
         "packing_vs_receipts_dated": packing_vs_receipts_dated(packed, received, date_pattern, strict),
     }
+
+
+def _compact(lines: DataFrame, date: str, quantity: str) -> DataFrame:
+    """Sums per key and day.  A null day stays: only the dated report leaves it out."""
+    return lines.dropna(subset=KEYS).groupBy(*KEYS, date).agg(sum_or_zero(F.col(quantity)).alias(quantity))

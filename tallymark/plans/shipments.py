@@ -31,6 +31,8 @@ from tallymark.functions.values import (
     whole_number,
 )
 from tallymark.operators.grouping import with_copies
+from tallymark.operators.reporting import COPY_NO
+from tallymark.operators.staging import stage
 from tallymark.operators.units import repeat_rows
 
 # Fixed value: the ledger's name for goods booked in.
@@ -87,33 +89,34 @@ def booked_receipts(ledger: DataFrame, bookings: DataFrame, date_pattern: str =
     return receipts(ledger, date_pattern, strict).join(booked_ids(bookings), "fba_id", "left_semi")
 
 
-def _any_row(df: DataFrame) -> Column:
-    """Whether a frame has rows, as a scalar subquery."""
-    return df.limit(1).agg((F.count(F.lit(1)) > 0).alias("any_row")).scalar()
+def _any_copy(lines: DataFrame) -> Column:
+    """Whether grouped lines have rows, as a scalar subquery that reuses their shuffle."""
+    return lines.agg((sum_or_zero(F.col("_dispatched")) > 0).alias("any_row")).scalar()
 
 
 def _outer(bookings: DataFrame, dispatches: DataFrame, received: DataFrame) -> DataFrame:
     return bookings.join(dispatches, KEYS, "full_outer").join(received, KEYS, "full_outer")
 
 
-def shipment_detail(bookings: DataFrame, dispatches: DataFrame, received: DataFrame) -> DataFrame:
+def shipment_detail(
+    bookings: DataFrame, dispatches: DataFrame, received: DataFrame, copy_no: str | None = None
+) -> DataFrame:
     """Every booking line with every dispatch and receipt line of its key.
 
     The sides are joined as distinct lines with their number of copies, so that
     repeated lines of a hot key multiply only after the shuffles.  Without any
-    dispatch, missing values and day counts stay null.
+    dispatch, missing values and day counts stay null.  ``copy_no`` names a column that
+    tells repeated lines apart.
     """
-    lines = _outer(
-        with_copies(bookings, "_booked"), with_copies(dispatches, "_dispatched"), with_copies(received, "_received")
-    )
-    dispatched = _any_row(dispatches)
+    sent = with_copies(dispatches, "_dispatched")
+    lines = _outer(with_copies(bookings, "_booked"), sent, with_copies(received, "_received"))
     one = F.lit(1).cast("bigint")
     copies = F.coalesce("_booked", one) * F.coalesce("_dispatched", one) * F.coalesce("_received", one)
 
     def filled(column: Column) -> Column:
         return F.when(F.col("_any"), or_zero(column)).otherwise(column)
 
-    detail = lines.withColumn("_any", dispatched).select(
+    detail = lines.withColumn("_any", _any_copy(sent)).select(
         "fba_id",
         "booking_date",
         "dispatch_date",
@@ -127,7 +130,7 @@ def shipment_detail(bookings: DataFrame, dispatches: DataFrame, received: DataFr
         F.when(F.col("_any"), or_zero(days_between(F.col("receipt_date"), F.col("dispatch_date")))).cast("bigint").alias("receipt_days"),
         copies.alias("_copies"),
     )
-    return repeat_rows(detail, "_copies", spread_by=["fba_id", "sku", "booking_date", "dispatch_date", "receipt_date"])
+    return repeat_rows(detail, "_copies", ["fba_id", "sku", "booking_date", "dispatch_date", "receipt_date"], copy_no)
 
 
 def shipment_by_sku(bookings: DataFrame, dispatches: DataFrame, received: DataFrame) -> DataFrame:
@@ -142,16 +145,14 @@ def shipment_by_sku(bookings: DataFrame, dispatches: DataFrame, received: DataFr
         .agg(F.count(F.lit(1)).alias("_booked"))
     )
     sent = (
-        dispatches.dropna(subset=["fba_id"])
-        .select(*KEYS, or_zero(F.col("inv_qty")).alias("inv_qty"))
+        dispatches.select(*KEYS, or_zero(F.col("inv_qty")).alias("inv_qty"))
         .groupBy(*KEYS, "inv_qty")
         .agg(F.count(F.lit(1)).alias("_dispatched"))
     )
     arrived = received.groupBy(*KEYS).agg(sum_or_zero(F.col("quantity")).alias("quantity"))
-    lines = _outer(booked, sent, arrived).withColumn("_any", _any_row(dispatches))
+    lines = _outer(booked, sent, arrived).dropna(subset=KEYS)
     one = F.lit(1).cast("bigint")
-    booked_something = F.col("cartons").isNotNull()
-    return lines.filter(F.col("_any") | booked_something).select(
+    return lines.filter(F.col("cartons").isNotNull() | _any_copy(sent)).select(
         *KEYS,
         or_zero(F.col("cartons")).alias("cartons_booked"),
         or_zero(F.col("inv_qty")).alias("cartons_dispatched"),
@@ -196,15 +197,19 @@ def shipment_kpis(by_sku: DataFrame) -> DataFrame:
 def reconcile(
     bookings: DataFrame, dispatches: DataFrame, ledger: DataFrame, date_pattern: str = "M/d/yyyy", strict: bool = True
 ) -> dict[str, DataFrame]:
-    """Summary, exceptions, SKU-wise and detail reports, and the headline figures."""
-    booked = clean_bookings(bookings)
-    sent = clean_dispatches(dispatches, booked)
-    arrived = booked_receipts(ledger, booked, date_pattern, strict)
-    by_sku = shipment_by_sku(booked, sent, arrived)
+    """Summary, exceptions, SKU-wise and detail reports, and the headline figures.
+
+    What several of them read is staged once.  The detail report numbers its copies so
+    that the sink can sort and spread a line repeated very often.
+    """
+    booked = stage(clean_bookings(bookings), "bookings")
+    sent = stage(clean_dispatches(dispatches, booked), "dispatches")
+    arrived = stage(booked_receipts(ledger, booked, date_pattern, strict), "receipts")
+    by_sku = stage(shipment_by_sku(booked, sent, arrived), "by-sku")
     return {
         "shipment_summary": shipment_summary(by_sku),
         "shipment_exceptions": shipment_exceptions(by_sku),
         "shipment_by_sku": by_sku,
-        "shipment_detail": shipment_detail(booked, sent, arrived),
+        "shipment_detail": shipment_detail(booked, sent, arrived, copy_no=COPY_NO),
         "shipment_kpis": shipment_kpis(by_sku),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tallymark.operators.reporting import REPORTS, print_columns, totals, with_flags
+from tallymark.operators.reporting import COPY_NO, REPORTS, print_columns, totals, with_flags
 
 
 def write_reports(reports: dict[str, DataFrame], folder: str, mode: str = "errorifexists") -> dict[str, str]:
@@ -17,7 +17,9 @@ def write_reports(reports: dict[str, DataFrame], folder: str, mode: str = "error
     for name, df in reports.items():
         layout = REPORTS[name]
         flagged = with_flags(df, name)
-        printed = print_columns(flagged.orderBy(*layout.sort) if layout.sort else flagged, name)
+        if layout.sort:
+            flagged = flagged.orderBy(*layout.sort, *(c for c in flagged.columns if c == COPY_NO))
+        printed = print_columns(flagged.drop(COPY_NO), name)
         written[name] = f"{folder.rstrip('/')}/{name}"
         printed.write.mode(mode).parquet(written[name])
         if layout.totals:
