@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,11 @@ from pyspark.sql import functions as F
 from tallymark.functions.values import sum_or_zero
 
 
+def all_present(columns: Sequence[str]) -> Column:
+    """Whether no column is null, in a form that scans can use."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def sum_by(df: DataFrame, keys: Sequence[str], **measures: str | Column) -> DataFrame:
     """Sum measures per key.
 
@@ -20,7 +26,7 @@ def sum_by(df: DataFrame, keys: Sequence[str], **measures: str | Column) -> Data
         sum_or_zero(F.col(source) if isinstance(source, str) else source).alias(name)
         for name, source in measures.items()
     ]
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*sums)
+    return df.filter(all_present(keys)).groupBy(*keys).agg(*sums)
 
 
 def with_copies(df: DataFrame, copies: str = "copies") -> DataFrame:

@@ -10,8 +10,11 @@ The work is done on daily counts.  Left units raise the depth of a block and rig
 units lower it.  The depths that occur cut the scale into bands, and every day's
 change covers whole bands, so within one band left and right alternate and a left
 entry is closed by the next one.  A day has few bands however many units it has, so
-the size of all intermediate tables follows blocks and calendar days, not units.
-Single units are looked up by their rank within block and day.
+the size of these tables follows blocks and calendar days, not units.
+
+The outcome of a day is a list of rank ranges, each with its right day.  The rows of
+that day, in order, tile the same ranks, so laying one tiling over the other in a
+window gives every row its outcome.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.operators.slices import slice_hot_groups
+from tallymark.operators.grouping import all_present
+from tallymark.operators.slices import Slices, slice_hot_groups
 
 MAX_WINDOW_ROWS = 5_000_000
 MAX_SLICES = 4_096
@@ -31,8 +35,7 @@ LEFT, RIGHT, START = 0, 1, -1
 def daily_units(df: DataFrame, block: Sequence[str], date: str, units: str) -> DataFrame:
     """Units per block and day; rows without block or day cannot be matched."""
     return (
-        df.dropna(subset=[*block, date])
-        .filter(F.col(units) >= 1)
+        df.filter(all_present([*block, date]) & (F.col(units) >= 1))
         .groupBy(*block, F.col(date).alias("day"))
         .agg(F.sum(F.col(units).cast("bigint")).alias("units"))
     )
@@ -41,9 +44,9 @@ def daily_units(df: DataFrame, block: Sequence[str], date: str, units: str) -> D
 def daily_matches(left_days: DataFrame, right_days: DataFrame, block: Sequence[str]) -> DataFrame:
     """For each block and left day, which ranks of that day go to which right day.
 
-    ``left_days`` and ``right_days`` come from ``daily_units``.  The result has one row
-    per block and left day with an array of ``(first, last, right_day)`` that covers all
-    of the day's units in order; a null ``right_day`` marks the unmatched rest.
+    ``left_days`` and ``right_days`` come from ``daily_units``.  The ranges ``first`` to
+    ``last`` of one day cover all of its units; a null ``right_day`` marks the unmatched
+    rest.
     """
     block = list(block)
     changes = (
@@ -78,21 +81,41 @@ def daily_matches(left_days: DataFrame, right_days: DataFrame, block: Sequence[s
         covered.withColumn("right_day", F.lead("day").over(in_band))
         .filter(F.col("side") == LEFT)
         .join(bands, [*block, "band"])
-        .groupBy(*block, "day")
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        (F.col("depth") - F.col("top") + 1).alias("first"),
-                        (F.col("depth") - F.col("bottom")).alias("last"),
-                        "right_day",
-                    )
-                )
-            ).alias("matches")
+        .select(
+            *block,
+            "day",
+            (F.col("depth") - F.col("top") + 1).alias("first"),
+            (F.col("depth") - F.col("bottom")).alias("last"),
+            "right_day",
         )
     )
 
 
+def _ranges_per_slice(ranges: DataFrame, days: list[str], slices: Slices) -> DataFrame:
+    """Ranges with the slice they belong to and their first rank within it.
+
+    A range that spans several slices of a cut day is given to each of them.
+    """
+    if slices.bounds is None:
+        return ranges.select(*days, F.lit(0).alias("slice"), "first", "right_day")
+    cut = F.broadcast(slices.bounds.select(*days).distinct())
+    whole = ranges.join(cut, days, "left_anti").select(*days, F.lit(0).alias("slice"), "first", "right_day")
+    inside = F.filter(
+        "ranges", lambda r: (r["last"] > F.col("before")) & (r["first"] <= F.col("before") + F.col("total"))
+    )
+    parts = (
+        ranges.join(cut, days, "left_semi")
+        .groupBy(*days)
+        .agg(F.collect_list(F.struct("first", "last", "right_day")).alias("ranges"))
+        .join(F.broadcast(slices.bounds), days)
+        .select(*days, "slice", "before", F.explode(inside).alias("part"))
+        .select(
+            *days, "slice", F.greatest(F.col("part.first") - F.col("before"), F.lit(1)).alias("first"), "part.right_day"
+        )
+    )
+    return whole.unionByName(parts)
+
+
 def match_nearest(
     left: DataFrame,
     right_days: DataFrame,
@@ -115,37 +138,38 @@ def match_nearest(
     block = list(block)
     kept = left.columns
     days = [*block, left_date]
-    group_rows = left.groupBy(*days).agg(F.count(F.lit(1)).alias("rows"))
-    matches = daily_matches(daily_units(left, block, left_date, units), right_days, block).withColumnRenamed("day", left_date)
+    dated = left.filter(all_present(days))
+    ranges = daily_matches(daily_units(left, block, left_date, units), right_days, block).withColumnRenamed("day", left_date)
+    slices = slice_hot_groups(dated, days, order, units, max_rows=max_rows, max_slices=max_slices)
 
-    slices = slice_hot_groups(
-        left, days, order, units, group_rows=group_rows, max_rows=max_rows, max_slices=max_slices
+    # Rows and ranges share one shuffle; both windows run on it.
+    rows = slices.rows.select(
+        *days, "slice", F.struct(*kept).alias("row"), F.col(units).alias("_size"), F.lit(None).alias("first"), F.lit(None).alias("range")
     )
-    if slices.offsets is None:
-        matches = matches.select(*days, F.lit(0).alias("slice"), F.lit(0).cast("bigint").alias("offset"), "matches")
-    else:
-        matches = matches.join(F.broadcast(slices.offsets), days, "left").select(
-            *days, F.coalesce("slice", F.lit(0)).alias("slice"), F.coalesce("offset", F.lit(0)).alias("offset"), "matches"
-        )
-
-    in_slice = Window.partitionBy(*days, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        slices.rows.withColumn("_last", F.sum(units).over(in_slice))
-        .join(matches, [*days, "slice"], "left")
-        .withColumn("_last", F.col("_last") + F.coalesce("offset", F.lit(0)))
-        .withColumn("_first", F.col("_last") - F.col(units) + 1)
+    outcomes = _ranges_per_slice(ranges, days, slices).select(
+        *days, "slice", F.lit(None).alias("row"), F.lit(0).alias("_size"), "first", F.struct("right_day").alias("range")
     )
-    own = F.filter("matches", lambda m: (m["last"] >= F.col("_first")) & (m["first"] <= F.col("_last")))
-    undated = F.array(
-        F.struct(F.col("_first").alias("first"), F.col("_last").alias("last"), F.lit(None).cast("date").alias("right_day"))
+    place = Window.partitionBy(*days, "slice")
+    in_order = place.orderBy(*[F.col(f"row.{name}") for name in order])
+    by_rank = place.orderBy("first")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    own = F.when(F.col("row").isNotNull(), F.struct("row", "_last"))
+    matched = (
+        rows.unionByName(outcomes)
+        .withColumn("_last", F.sum("_size").over(in_order.rowsBetween(*so_far)))
+        .withColumn("first", F.coalesce("first", F.col("_last") - F.col("_size") + 1))
+        .withColumn("_own", F.last(own, ignorenulls=True).over(by_rank.rowsBetween(*so_far)))
+        .withColumn("range", F.last("range", ignorenulls=True).over(by_rank.rowsBetween(*so_far)))
+        .withColumn("_units", F.coalesce(F.lead("first").over(by_rank), F.col("_own._last") + 1) - F.col("first"))
+        .filter(F.col("_units") > 0)
+        .select("_own.row.*", "range.right_day", "_units")
+    )
+    undated = left.filter(~all_present(days)).select(
+        "*", F.lit(None).cast("date").alias("right_day"), F.col(units).alias("_units")
     )
-    outcome = F.col("_match")
     return (
-        ranked.withColumn("_match", F.explode(F.coalesce(own, undated)))
-        .withColumn(units, F.least(outcome["last"], F.col("_last")) - F.greatest(outcome["first"], F.col("_first")) + 1)
-        .select(
-            *kept,
-            outcome["right_day"].alias("right_date"),
-            F.datediff(outcome["right_day"], F.col(left_date)).alias("gap_days"),
-        )
+        matched.select(*kept, "right_day", "_units")
+        .unionByName(undated)
+        .withColumn(units, F.col("_units"))
+        .select(*kept, F.col("right_day").alias("right_date"), F.datediff("right_day", left_date).alias("gap_days"))
     )

@@ -21,10 +21,10 @@ HASH_RANGE = 1 << 30
 
 @dataclass(frozen=True)
 class Slices:
-    """``rows`` with a slice number, and the total before each slice of a cut group."""
+    """``rows`` with a slice number, and per slice of a cut group its total and the total before."""
 
     rows: DataFrame
-    offsets: DataFrame | None
+    bounds: DataFrame | None
 
 
 def order_key(order: Sequence[str]) -> Column:
@@ -37,21 +37,22 @@ def slice_hot_groups(
     order: Sequence[str],
     amount: str,
     *,
-    group_rows: DataFrame,
     max_rows: int,
     max_slices: int,
 ) -> Slices:
     """Number the slices of hot groups; a group within the limit stays whole (slice 0).
 
-    ``group_rows`` holds the row count (``rows``) per group.  The limit rises with the
-    data so that there are about ``max_slices`` cuts at most, which bounds what is
-    broadcast.  Two counts are read here to decide whether anything is hot; the second
-    only if there are more rows than one group may have.
+    The limit rises with the data so that there are about ``max_slices`` cuts at most,
+    which bounds what is broadcast.  Two counts are read here to decide whether anything
+    is hot; the second only if there are more rows than one group may have.
     """
     whole = Slices(rows.withColumn("slice", F.lit(0)), None)
     count = rows.count()
     limit = max(max_rows, count // max_slices)
-    if count <= limit or group_rows.agg(F.max("rows")).first()[0] <= limit:
+    if count <= limit:
+        return whole
+    group_rows = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"))
+    if group_rows.agg(F.max("rows")).first()[0] <= limit:
         return whole
 
     hot = group_rows.filter(F.col("rows") > limit).select(*group)
@@ -78,5 +79,7 @@ def slice_hot_groups(
         .agg(F.sum(amount).alias("_total"))
     )
     before = Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group, "slice", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("offset"))
-    return Slices(numbered, offsets)
+    bounds = totals.select(
+        *group, "slice", F.col("_total").alias("total"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("before")
+    )
+    return Slices(numbered, bounds)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.keys import SKU_PREFIX, normalize_ledger_sku, normalize_sku
 from tallymark.functions.values import iso_day, money, or_zero, prorated, sum_or_zero, us_day
-from tallymark.operators.grouping import sum_by
+from tallymark.operators.grouping import all_present, sum_by
 from tallymark.operators.matching import MAX_SLICES, MAX_WINDOW_ROWS, daily_units, match_nearest
 from tallymark.operators.staging import stage
 from tallymark.operators.units import split_runs
@@ -276,14 +276,14 @@ def reconcile(
     # Grouped with the null dates and centres, which only the coarser grains keep.
     returned = stage(
         normalized_returns(returns, options)
-        .dropna(subset=[*ORDER, "status"])
+        .filter(all_present([*ORDER, "status"]))
         .groupBy(*ORDER, "status", "return_date", "fulfillment_center_id")
         .agg(sum_or_zero(F.col("quantity_returns")).alias("quantity_returns")),
         "returns",
     )
     dated = stage(
         normalized_reimbursements(reimbursements, options)
-        .dropna(subset=list(ORDER))
+        .filter(all_present(ORDER))
         .groupBy(*ORDER, "approval_date")
         .agg(*[sum_or_zero(F.col(name)).alias(name) for name in REIMBURSED_MEASURES]),
         "reimbursements",
@@ -291,7 +291,7 @@ def reconcile(
     by_key = reimbursements_by(dated)
     reimbursed_lines = stage(reimbursed_refunds(refunded, returned), "reimbursed")
     restocked = stage(restocked_runs(refunded, returned, options), "restocked")
-    granted = stage(inventory_reimbursed_runs(reimbursed_lines, dated.dropna(subset=["approval_date"]), options), "granted")
+    granted = stage(inventory_reimbursed_runs(reimbursed_lines, dated.filter(F.col("approval_date").isNotNull()), options), "granted")
     days = stage(ledger_days(ledger, options), "ledger")
     return {
         "refunds_vs_returns": refunds_vs_returns(refunded, returned),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.keys import SHIPMENT_ID_LENGTH, first_chars
 from tallymark.functions.values import days_between, or_zero, sum_or_zero, text_or, us_day
-from tallymark.operators.grouping import sum_by
+from tallymark.operators.grouping import all_present, sum_by
 from tallymark.operators.staging import stage
 from tallymark.plans.shipments import RECEIPTS
 
@@ -22,7 +22,7 @@ KEYS = ["fba_id", "sku_id"]
 
 def packing_lines(packing: DataFrame) -> DataFrame:
     """Carton lines with the shipment id that starts each carton id."""
-    return packing.dropna(subset=["carton_id"]).select(
+    return packing.filter(F.col("carton_id").isNotNull()).select(
         first_chars(F.col("carton_id"), SHIPMENT_ID_LENGTH).alias("fba_id"),
         text_or(F.col("upc_number")).alias("sku_id"),
         "bl_date",
@@ -80,4 +80,4 @@ def reconcile(packing: DataFrame, ledger: DataFrame, date_pattern: str = "M/d/yy
 
 def _compact(lines: DataFrame, date: str, quantity: str) -> DataFrame:
     """Sums per key and day.  A null day stays: only the dated report leaves it out."""
-    return lines.dropna(subset=KEYS).groupBy(*KEYS, date).agg(sum_or_zero(F.col(quantity)).alias(quantity))
+    return lines.filter(all_present(KEYS)).groupBy(*KEYS, date).agg(sum_or_zero(F.col(quantity)).alias(quantity))

@@ -30,7 +30,7 @@ from tallymark.functions.values import (
     us_day,
     whole_number,
 )
-from tallymark.operators.grouping import with_copies
+from tallymark.operators.grouping import all_present, with_copies
 from tallymark.operators.reporting import COPY_NO
 from tallymark.operators.staging import stage
 from tallymark.operators.units import repeat_rows
@@ -67,7 +67,7 @@ def clean_dispatches(dispatches: DataFrame, bookings: DataFrame) -> DataFrame:
         wanted = dispatches.join(names, "file_name", "left_semi")
     else:
         wanted = dispatches.join(booked, "fba_id", "left_semi")
-    return wanted.dropna(subset=["sku"]).select(
+    return wanted.filter(F.col("sku").isNotNull()).select(
         "fba_id",
         "dispatch_date",
         without_decimal_suffix(text_or(F.col("sku"))).alias("sku"),
@@ -150,7 +150,7 @@ def shipment_by_sku(bookings: DataFrame, dispatches: DataFrame, received: DataFr
         .agg(F.count(F.lit(1)).alias("_dispatched"))
     )
     arrived = received.groupBy(*KEYS).agg(sum_or_zero(F.col("quantity")).alias("quantity"))
-    lines = _outer(booked, sent, arrived).dropna(subset=KEYS)
+    lines = _outer(booked, sent, arrived).filter(all_present(KEYS))
     one = F.lit(1).cast("bigint")
     return lines.filter(F.col("cartons").isNotNull() | _any_copy(sent)).select(
         *KEYS,

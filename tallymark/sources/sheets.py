@@ -97,7 +97,7 @@ def packing_from_cells(cells: DataFrame) -> DataFrame:
     headers = labelled_row(cells, PACKING_LABEL_COLUMN, PACKING_HEADER_LABEL, "header_row")
     dates = value_beside(cells, PACKING_LABEL_COLUMN, PACKING_DATE_LABEL, PACKING_DATE_COLUMN, "bl_date_text")
     lines = table_below(cells, headers, PACKING_HEADERS, PACKING_COLUMNS)
-    return lines.dropna(subset=["carton_id"]).join(dates, "file", "left").select(
+    return lines.filter(F.col("carton_id").isNotNull()).join(dates, "file", "left").select(
         "file",
         "carton_id",
         "upc_number",
@@ -110,7 +110,7 @@ def dispatches_from_cells(cells: DataFrame) -> DataFrame:
     """Dispatch lines with the shipment id and date written on their sheet."""
     heads = fixed_cells(cells, {"fba_id": DISPATCH_ID_CELL, "dispatch_date_text": DISPATCH_DATE_CELL})
     lines = table_below(cells, DISPATCH_HEADER_ROW, DISPATCH_HEADERS, DISPATCH_COLUMNS, upper=True)
-    return lines.dropna(subset=["sku"]).join(heads, "file", "left").select(
+    return lines.filter(F.col("sku").isNotNull()).join(heads, "file", "left").select(
         F.col("file").alias("file_name"),
         "fba_id",
         iso_day(F.col("dispatch_date_text")).alias("dispatch_date"),
