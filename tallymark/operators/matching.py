@@ -98,22 +98,22 @@ def _ranges_per_slice(ranges: DataFrame, days: list[str], slices: Slices) -> Dat
     """
     if slices.bounds is None:
         return ranges.select(*days, F.lit(0).alias("slice"), "first", "right_day")
-    cut = F.broadcast(slices.bounds.select(*days).distinct())
-    whole = ranges.join(cut, days, "left_anti").select(*days, F.lit(0).alias("slice"), "first", "right_day")
+    per_day = slices.bounds.groupBy(*days).agg(F.collect_list(F.struct("slice", "before", "total")).alias("slices"))
     inside = F.filter(
-        "ranges", lambda r: (r["last"] > F.col("before")) & (r["first"] <= F.col("before") + F.col("total"))
+        "slices", lambda s: (F.col("last") > s["before"]) & (F.col("first") <= s["before"] + s["total"])
     )
-    parts = (
-        ranges.join(cut, days, "left_semi")
-        .groupBy(*days)
-        .agg(F.collect_list(F.struct("first", "last", "right_day")).alias("ranges"))
-        .join(F.broadcast(slices.bounds), days)
-        .select(*days, "slice", "before", F.explode(inside).alias("part"))
+    none = F.lit(0).cast("bigint")
+    whole = F.array(F.struct(F.lit(0).alias("slice"), none.alias("before"), none.alias("total")))
+    return (
+        ranges.join(F.broadcast(per_day), days, "left")
+        .withColumn("part", F.explode(F.coalesce(inside, whole)))
         .select(
-            *days, "slice", F.greatest(F.col("part.first") - F.col("before"), F.lit(1)).alias("first"), "part.right_day"
+            *days,
+            F.col("part.slice").alias("slice"),
+            F.greatest(F.col("first") - F.col("part.before"), F.lit(1)).alias("first"),
+            "right_day",
         )
     )
-    return whole.unionByName(parts)
 
 
 def match_nearest(

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.operators.staging import stage
+
 SAMPLES_PER_SLICE = 64
 HASH_RANGE = 1 << 30
 
@@ -55,16 +57,16 @@ def slice_hot_groups(
     if group_rows.agg(F.max("rows")).first()[0] <= limit:
         return whole
 
-    hot = group_rows.filter(F.col("rows") > limit).select(*group)
+    # Small tables that several passes read: at most one row per hot group or slice.
+    hot = stage(group_rows.filter(F.col("rows") > limit).select(*group), "hot")
     hot_rows = rows.join(F.broadcast(hot), list(group), "left_semi")
 
     rate = min(1.0, SAMPLES_PER_SLICE / limit)
     stride = max(1, int(rate * limit))
     chosen = F.pmod(F.xxhash64(*group, *order), F.lit(HASH_RANGE)) < int(rate * HASH_RANGE)
     sample = hot_rows.filter(chosen).groupBy(*group).agg(F.sort_array(F.collect_list(order_key(order))).alias("sample"))
-    cuts = sample.select(
-        *group,
-        F.filter("sample", lambda _, i: F.pmod(i + 1, F.lit(stride)) == 0).alias("cuts"),
+    cuts = stage(
+        sample.select(*group, F.filter("sample", lambda _, i: F.pmod(i + 1, F.lit(stride)) == 0).alias("cuts")), "cuts"
     )
 
     key = order_key(order)
@@ -82,4 +84,4 @@ def slice_hot_groups(
     bounds = totals.select(
         *group, "slice", F.col("_total").alias("total"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("before")
     )
-    return Slices(numbered, bounds)
+    return Slices(numbered, stage(bounds, "bounds"))
