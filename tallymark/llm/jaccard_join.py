@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -396,3 +396,16 @@ def components(
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The document with the smallest id of each component, and all documents without words; same columns."""
+    key = F.xxhash64(docs[id_column], docs[text_column])
+    keyed = docs.withColumn("_key", key)
+    found = components(keyed.select("_key", docs[text_column].alias("text")), "_key", percent=percent).distinct()
+    ids = keyed.select(F.col("_key").alias("doc_id"), F.col(id_column).alias("_id")).distinct()
+    place = F.struct(F.col("_id").isNull(), "_id", "doc_id")
+    kept = found.join(ids, "doc_id").groupBy("component_id").agg(F.min(place).alias("best"))
+    kept = kept.select(F.col("best.doc_id").alias("_key"))
+    turn = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))  # of repeated rows, one
+    return keyed.join(kept, "_key", "left_semi").withColumn("_turn", turn).where("_turn = 1").select(*docs.columns)

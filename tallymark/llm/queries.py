@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, frames, jaccard_join, lm_scoring, quality, sharding, warc
+from tallymark.llm import (
+    bpe,
+    decontamination,
+    frames,
+    html_extraction,
+    jaccard_join,
+    line_dedup,
+    lm_scoring,
+    quality,
+    sharding,
+    toxicity,
+    warc,
+)
 from tallymark.llm.shipping import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -35,6 +47,30 @@ def op1_lm_scoring(spark, sf_dir):
     return lm_scoring.score_texts(_table(spark, sf_dir, "documents"), frames.id_remainder(F.col("doc_id"), 7) == 2)
 
 
+@_registered
+def op2_decontamination(spark, sf_dir):
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_registered
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op4_html_extraction(spark, sf_dir):
+    return html_extraction.extract(_table(spark, sf_dir, "pages"))
+
+
+@_registered
+def op5_toxicity(spark, sf_dir):
+    return toxicity.score_texts(
+        _table(spark, sf_dir, "documents"),
+        _table(spark, sf_dir, "labels"),
+        frames.id_remainder(F.col("doc_id"), 4) == 2,
+    )
+
+
 @_registered
 def op6_quality_rules(spark, sf_dir):
     return quality.assess(_table(spark, sf_dir, "documents"))

@@ -127,9 +127,8 @@ def _search(rows: DataFrame, nodes: list[_Node]) -> None:
 
 
 def leaves(rows: DataFrame, shards: int, dims: int) -> DataFrame:
-    """Give each row of (dims, tie, size) its leaf, 0 to shards - 1, as column node."""
+    """Move each row of (dims, tie, size, node), all of node 0, to its leaf, 0 to shards - 1."""
     level = [_Node(0, shards)]
-    rows = rows.withColumn("node", F.lit(0))
     widths: list[int] | None = None
     while any(n.leaves > 1 for n in level):
         at = [F.element_at("dims", k + 1) for k in range(dims)]
@@ -182,6 +181,7 @@ def shard_texts(
             crc.alias("text_crc32"),
             F.array(*dims).alias("dims"),
             F.shiftright(F.xxhash64(docs[id_column], size, crc), 2).alias("tie"),
+            F.lit(0).alias("node"),
         ),
         "sharding",
     )
