@@ -8,8 +8,8 @@ stays and all others are removed. Lines without words are left alone.
 The join (after Li et al., Pass-Join, 2011). A line is split into edits + 1 segments; if two lines are
 near, one of them holds a segment of the other unchanged, not far from its place. Each line lists
 its segments, and for every length down to `edits` less, the few substrings that could be such a
-segment (multi-match aware). Equal hashes of segment and substring give candidates; these
-are verified by banded bit-parallel edit distance over the full lines.
+segment (multi-match aware). Equal hashes of segment and substring give candidates; those
+whose code point parities allow it are verified by banded bit-parallel edit distance over the full lines.
 
 Only classes are asked for, so candidates are verified in two rounds: first each line against the
 smallest line of its hash, then, between classes that still differ, all candidates. A group of
@@ -87,6 +87,15 @@ def seeds(lines: list[np.ndarray], edits: int) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate([v for v, _, _ in found]), np.concatenate([n for _, n, _ in found]), side
 
 
+def parities(points: np.ndarray) -> int:
+    """For each of 64 classes of code points, whether an odd number of them stands in the line.
+
+    An edit turns two bits at most, so near lines differ in at most 2 * edits bits.
+    """
+    odd = np.bincount(points & np.uint32(63), minlength=64) & 1
+    return int(np.packbits(odd.astype(np.uint8)).view(">u8")[0])
+
+
 def _texts(batches):
     for batch in batches:
         for texts in words.slices(batch.column("text")):
@@ -116,6 +125,7 @@ def _seed_lists(buckets: int, edits: int, min_chars: int):
     def flush(keys, lines):
         keys = np.array(keys, dtype=np.int64)
         hashes, number, side = seeds(lines, edits)
+        marks_of = np.array([parities(x) for x in lines], dtype=np.uint64)
         order = np.argsort(hashes)
         hashes, owner = hashes[order], (number[order].astype(np.uint32) << np.uint32(1)) | side[order]
         cuts = [0, *np.searchsorted(hashes, edges), len(hashes)]
@@ -125,10 +135,10 @@ def _seed_lists(buckets: int, edits: int, min_chars: int):
             if b > a:
                 used, index = np.unique(owner[a:b] >> np.uint32(1), return_inverse=True)
                 marks = (index.astype(np.uint32) << np.uint32(1)) | (owner[a:b] & np.uint32(1))
-                rows.append((bucket, packed.pack_sorted(hashes[a:b]), packed.pack(marks), packed.pack(keys[used])))
-        types = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                rows.append((bucket, packed.pack_sorted(hashes[a:b]), packed.pack(marks), packed.pack(keys[used]), packed.pack(marks_of[used])))
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["bucket", "hashes", "owners", "lines"]
+            [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["bucket", "hashes", "owners", "lines", "parities"]
         )
 
     def run(batches):
@@ -151,23 +161,25 @@ def _seed_lists(buckets: int, edits: int, min_chars: int):
 
 def _meetings(table: pa.Table) -> pa.Table:
     """Seeds on both sides of which different lines stand, with those lines."""
-    hashes, lines, sides = [], [], []
-    for h, o, k in zip(*(table.column(c).to_pylist() for c in ("hashes", "owners", "lines"))):
+    hashes, lines, sides, odd = [], [], [], []
+    for h, o, k, p in zip(*(table.column(c).to_pylist() for c in ("hashes", "owners", "lines", "parities"))):
         owner = packed.unpack(o, np.uint32)
+        odd.append(packed.unpack(p, np.int64)[owner >> np.uint32(1)])
         hashes.append(packed.unpack_sorted(h))
         lines.append(packed.unpack(k, np.int64)[owner >> np.uint32(1)])
         sides.append((owner & np.uint32(1)).astype(np.int32))
-    hashes, lines, sides = np.concatenate(hashes), np.concatenate(lines), np.concatenate(sides)
+    hashes, lines, sides, odd = (np.concatenate(x) for x in (hashes, lines, sides, odd))
     order = np.lexsort((lines, hashes))
-    hashes, lines, sides = hashes[order], lines[order], sides[order]
+    hashes, lines, sides, odd = hashes[order], lines[order], sides[order], odd[order]
     first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
     size = np.diff(np.concatenate((first, [len(hashes)])))
     several = lines[first] != lines[first + size - 1]
     ones = np.add.reduceat(sides, first)
     several &= (ones > 0) & (ones < size)
     pick = np.repeat(several, size)
-    result = pa.table({"seed": hashes[pick].view(np.int64), "line": lines[pick], "side": sides[pick]})
-    return result
+    return pa.table(
+        {"seed": hashes[pick].view(np.int64), "line": lines[pick], "side": sides[pick], "parities": odd[pick]}
+    )
 
 
 def _fetch(min_chars: int):
@@ -216,23 +228,29 @@ def line_classes(
     buckets = max(1, int(size * seeds_per_byte / bucket_entries) + 1)
     rows = docs.select(frames.plain_text(docs).alias("text"))
     lists = rows.mapInArrow(
-        _seed_lists(buckets, edits, min_chars), "bucket int, hashes binary, owners binary, lines binary"
+        _seed_lists(buckets, edits, min_chars), "bucket int, hashes binary, owners binary, lines binary, parities binary"
     )
-    met = stage(lists.groupBy("bucket").applyInArrow(_meetings, "seed long, line long, side int"), "lines")
+    met = stage(lists.groupBy("bucket").applyInArrow(_meetings, "seed long, line long, side int, parities long"), "lines")
     wanted = met.select("line").distinct()
     texts = rows.mapInArrow(_fetch(min_chars), "line long, normal string").join(wanted, "line", "left_semi")
     texts = stage(texts.dropDuplicates(["line"]), "lines")
 
-    pivots = met.groupBy("seed").agg(F.min("line").alias("a"))
-    first = _near(met.join(pivots, "seed").select("a", F.col("line").alias("b")), texts, edits)
+    alike = F.bit_count(F.col("parities_a").bitwiseXOR(F.col("parities_b"))) <= 2 * edits
+    pivots = met.groupBy("seed").agg(F.min(F.struct("line", "parities")).alias("p"))
+    pivots = pivots.select("seed", F.col("p.line").alias("a"), F.col("p.parities").alias("parities_a"))
+    paired = met.withColumnRenamed("parities", "parities_b").join(pivots, "seed").where(alike)
+    first = _near(paired.select("a", F.col("line").alias("b")), texts, edits)
     labels = links.components(first)
     named = met.join(labels.withColumnRenamed("node", "line"), "line", "left")
     named = named.withColumn("label", F.coalesce("label", "line"))
     open_seeds = named.groupBy("seed").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     named = named.join(open_seeds.where("low <> high").select("seed"), "seed")
-    segments = named.where("side = 0").select("seed", F.col("line").alias("a"), F.col("label").alias("label_a"))
-    probes = named.where("side = 1").select("seed", F.col("line").alias("b"), F.col("label").alias("label_b"))
-    second = _near(segments.join(probes, "seed").where("label_a <> label_b").select("a", "b"), texts, edits)
+    segments, probes = (
+        named.where(F.col("side") == k).select("seed", *[F.col(c).alias(f"{c}_{n}") for c in ("line", "label", "parities")])
+        for k, n in enumerate("ab")
+    )
+    pairs = segments.join(probes, "seed").where(alike & (F.col("label_a") != F.col("label_b")))
+    second = _near(pairs.select(F.col("line_a").alias("a"), F.col("line_b").alias("b")), texts, edits)
     return links.components(first.union(second)).withColumnRenamed("node", "line")
 
 
