@@ -7,6 +7,7 @@ no pre-aggregation.
 from __future__ import annotations
 
 from checks.inputs import common_tables
+from tallymark.operators.reporting import REPORTS
 
 ORACLE: dict[str, str] = {}
 
@@ -143,7 +144,7 @@ _add("parse_dates_and_gaps", "fx_returns fx_ledger", "", f"""
           from fx_ledger where reference_id is not null group by 1)
   select order_id, cast(return_day as string) as return_day, strftime(receipt_day, '%m/%d/%Y') as receipt_day,
     receipt_day - return_day as gap_days
-  from a join b using (order_id)""")
+  from a full join b using (order_id)""")
 
 _add("refunds_by_key", "fx_payments", "refunds", """
   select order_id, sku, cast(quantity_refund as bigint) as quantity_refund, cast(total as double) as total from refunds""")
@@ -258,7 +259,7 @@ _add("booked_receipts", "fx_bookings fx_ledger", "", f"""
   select reference_id as fba_id, substr(coalesce(msku, 'nan'), 1, 12) as sku, cast({LEDGER_DAY} as string) as receipt_date,
     cast(quantity as bigint) as quantity
   from fx_ledger where event_type = 'Receipts'
-    and reference_id in (select fba_id from fx_bookings where cartons = 10 and length(fba_id) = 12)""")
+    and reference_id in (select fba_id from fx_bookings where cartons % 3 = 1)""")
 
 SHIPMENT_FIXTURES = "fx_bookings fx_dispatches fx_ledger"
 SHIPMENT_STEPS = "bookings dispatches received detail"
@@ -361,7 +362,7 @@ _add("dispatch_sheets", "fx_bookings", "", """
   select fba_id, dispatch_date, base_sku as sku, cast(sum(1 + q % 10) as bigint) as inv_qty
   from fx_base join heads using (fba_id)
   where l_returnflag = 'N' and l_linenumber <> 6
-    and fba_id in (select fba_id from fx_bookings where cartons = 10)
+    and fba_id in (select fba_id from fx_bookings where cartons % 3 = 1)
   group by fba_id, dispatch_date, base_sku, l_linenumber""")
 
 _add("union_ledgers", "fx_ledger", "", """
@@ -372,3 +373,46 @@ _add("booking_date_from_file", "fx_bookings", "", """
   select fba_id, replace(sku, '_NEW', '') as sku, cast(cartons as bigint) as cartons, cast(qty as bigint) as qty,
     cast(cast(date_trunc('month', booking_date) as date) as string) as booking_date
   from fx_bookings where length(fba_id) = 12""")
+
+_add("ledger_with_header_text", "fx_ledger", "", """
+  select date_text, msku, cast(quantity as bigint) as quantity,
+    case quantity when 1 then 'Reference ID' when 2 then '12" ruler, "blue"' else fulfillment_center end as fulfillment_center,
+    event_type, disposition, reference_id
+  from fx_ledger""")
+
+_add("csv_payments", "fx_payments", "", """
+  select posted, type, order_id, sku, description, cast(quantity as bigint) as quantity, cast(total as double) as total
+  from fx_payments""")
+
+_add("csv_returns", "fx_returns", "", """
+  select order_id, sku, status, cast(quantity as bigint) as quantity, return_date, fulfillment_center_id from fx_returns""")
+
+_add("csv_reimbursements", "fx_reimbursements", "", """
+  select reason, approval_date, amazon_order_id, sku, cast(amount_total as double) as amount_total,
+    cast(quantity_reimbursed_cash as bigint) as quantity_reimbursed_cash,
+    cast(quantity_reimbursed_inventory as bigint) as quantity_reimbursed_inventory,
+    cast(quantity_reimbursed_total as bigint) as quantity_reimbursed_total
+  from fx_reimbursements""")
+
+_add("rejected_quantities", "fx_ledger", "", f"""
+  , lines as (
+    select {LEDGER_SKU} as sku, fulfillment_center as fulfillment_center_id, cast({LEDGER_DAY} as string) as day,
+      case when quantity = 3 then -quantity else quantity end as quantity
+    from fx_ledger where event_type = 'CustomerReturns' and disposition = 'SELLABLE')
+  select 'rejected' as kind, sku, fulfillment_center_id, day, cast(quantity as bigint) as quantity from lines where quantity < 0
+  union all
+  select 'kept', sku, fulfillment_center_id, day, cast(sum(quantity) as bigint) from lines
+  where quantity >= 1 group by all""")
+
+
+def _totals(name: str, columns: list[str]) -> str:
+    return " union all ".join(
+        f"""select '{name}' as report, '{c}' as "column", cast(sum(cast("{c}" as decimal(38,6))) as double) as total
+        from ({ORACLE[name]})""" for c in columns
+    )
+
+
+ORACLE["written_totals"] = " union all ".join(
+    _totals(name, [REPORTS[name].columns[c] for c in REPORTS[name].totals])
+    for name in ("refunds_vs_returns", "returns_vs_reimbursements", "cash_reimbursement")
+)

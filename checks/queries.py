@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from checks.inputs import dispatch_cells, frame, packing_cells
 from tallymark.functions.keys import normalize_ledger_sku, normalize_sku
 from tallymark.functions.values import days_between, iso_day, us_day
-from tallymark.operators.matching import match_nearest
+from tallymark.operators.matching import daily_units, match_nearest
 from tallymark.operators.reporting import REPORTS, print_columns, with_flags, with_totals
-from tallymark.operators.staging import new_folder, stage
-from tallymark.operators.units import explode_units
+from tallymark.operators.staging import new_folder
+from tallymark.operators.units import explode_units, negative_quantities, non_negative
 from tallymark.plans import customer_returns as cr
 from tallymark.plans import packing as pk
 from tallymark.plans import shipments as sh
@@ -67,12 +67,12 @@ class ReturnsInputs:
 
     @property
     def restocked_runs(self) -> DataFrame:
-        return stage(cr.restocked_runs(self.refunds, self.returns), "restocked")
+        return cr.restocked_runs(self.refunds, self.returns)
 
     @property
     def granted_runs(self) -> DataFrame:
         dated = cr.reimbursements_by(self.reimbursements, "approval_date")
-        return stage(cr.inventory_reimbursed_runs(self.reimbursed_lines, dated), "granted")
+        return cr.inventory_reimbursed_runs(self.reimbursed_lines, dated)
 
 
 def _shipment_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -81,6 +81,13 @@ def _shipment_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return booked, sent, sh.booked_receipts(frame(spark, sf_dir, "fx_ledger"), booked)
 
 
+def _odd_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bookings; those of 3, 6 and 9 cartons get a short id and those of 2, 5 and 8 a foreign one."""
+    kind = F.col("cartons") % 3
+    odd = F.when(kind == 0, F.substring("fba_id", 1, 11)).when(kind == 2, F.replace("fba_id", F.lit("FBA"), F.lit("XYZ")))
+    return frame(spark, sf_dir, "fx_bookings").withColumn("fba_id", F.coalesce(odd, "fba_id"))
+
+
 def _packing_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return pk.packing_lines(frame(spark, sf_dir, "fx_packing")), pk.receipt_lines(frame(spark, sf_dir, "fx_ledger"))
 
@@ -118,10 +125,10 @@ def parse_dates_and_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     returned = frame(spark, sf_dir, "fx_returns").select(
         "order_id", iso_day(F.col("return_date")).alias("return_day")
     ).groupBy("order_id").agg(F.max("return_day").alias("return_day"))
-    received = frame(spark, sf_dir, "fx_ledger").select(
+    received = frame(spark, sf_dir, "fx_ledger").filter(F.col("reference_id").isNotNull()).select(
         F.regexp_replace("reference_id", "^FBA0*", "O-").alias("order_id"), us_day(F.col("date_text")).alias("receipt_day")
     ).groupBy("order_id").agg(F.max("receipt_day").alias("receipt_day"))
-    return returned.join(received, "order_id").select(
+    return returned.join(received, "order_id", "full_outer").select(
         "order_id",
         F.col("return_day").cast("string").alias("return_day"),
         F.date_format("receipt_day", "MM/dd/yyyy").alias("receipt_day"),
@@ -245,14 +252,50 @@ def inventory_reimbursement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _print(report, "inventory_reimbursement")
 
 
+@query
+def rejected_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger lines set aside because their quantity is negative, beside the days of the others."""
+    ledger = frame(spark, sf_dir, "fx_ledger").withColumn(
+        "quantity", F.when(F.col("quantity") == 3, -F.col("quantity")).otherwise(F.col("quantity"))
+    )
+    lines = cr.restocked_ledger(ledger)
+    columns = ("sku", "fulfillment_center_id", "day", "quantity")
+    parts = {
+        "rejected": negative_quantities(lines, "quantity").withColumnRenamed("ledger_day", "day"),
+        "kept": daily_units(non_negative(lines, "quantity"), cr.BLOCK, "ledger_day", "quantity").withColumnRenamed("units", "quantity"),
+    }
+    frames = [df.select(F.lit(kind).alias("kind"), *columns) for kind, df in parts.items()]
+    both = frames[0].unionByName(frames[1])
+    return both.withColumn("day", F.col("day").cast("string")).withColumn("quantity", F.col("quantity").cast("bigint"))
+
+
+@query
+def written_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the cash and refund reports as the sink leaves them."""
+    inputs = ReturnsInputs(spark, sf_dir)
+    by_key = cr.reimbursements_by(inputs.reimbursements)
+    reports = {
+        "refunds_vs_returns": cr.refunds_vs_returns(inputs.refunds, inputs.returns),
+        "returns_vs_reimbursements": cr.returns_vs_reimbursements(inputs.reimbursed_lines, by_key),
+        "cash_reimbursement": cr.cash_reimbursement(inputs.reimbursed_lines, by_key, inputs.settlements),
+    }
+    written = write_reports(reports, new_folder(spark, "reports"))
+    rows = []
+    for name in reports:
+        sums = spark.read.parquet(written[f"{name}_totals"])
+        named = [REPORTS[name].columns[c] for c in REPORTS[name].totals]
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("total")) for c in named])
+        rows.append(sums.select(F.lit(name).alias("report"), F.explode(pairs).alias("p")).select("report", "p.*"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 # Shipments
 
 
 @query
 def booked_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Receipts of shipments with a booking of ten cartons, so that the test on ids bites."""
-    large = frame(spark, sf_dir, "fx_bookings").filter(F.col("cartons") == 10)
-    found = sh.booked_receipts(frame(spark, sf_dir, "fx_ledger"), sh.clean_bookings(large))
+    """Receipts of booked shipments; some bookings carry short or foreign ids."""
+    found = sh.booked_receipts(frame(spark, sf_dir, "fx_ledger"), sh.clean_bookings(_odd_bookings(spark, sf_dir)))
     return found.withColumn("receipt_date", F.col("receipt_date").cast("string")).withColumn(
         "quantity", F.col("quantity").cast("bigint")
     )
@@ -339,9 +382,9 @@ def packing_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dispatch_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dispatch sheets of shipments with a booking of ten cartons."""
-    large = sh.clean_bookings(frame(spark, sf_dir, "fx_bookings").filter(F.col("cartons") == 10))
-    lines = sh.clean_dispatches(dispatches_from_cells(dispatch_cells(spark, sf_dir)), large)
+    """Dispatch sheets of booked shipments; some bookings carry short or foreign ids."""
+    booked = sh.clean_bookings(_odd_bookings(spark, sf_dir))
+    lines = sh.clean_dispatches(dispatches_from_cells(dispatch_cells(spark, sf_dir)), booked)
     return lines.withColumn("dispatch_date", F.col("dispatch_date").cast("string"))
 
 
@@ -359,7 +402,46 @@ def union_ledgers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.filter(~receipts).write.csv(f"{folder}/returns", header=True)
     turned = ledger.filter(receipts).select(*reversed(ledger.columns))
     turned.write.csv(f"{folder}/receipts", header=True)
-    return read_csv(spark, "ledger", [f"{folder}/returns", f"{folder}/receipts"], by_name=True)
+    return read_csv(spark, "ledger", [f"{folder}/returns", f"{folder}/receipts"])
+
+
+@query
+def ledger_with_header_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger whose lines hold header names, quotes and commas."""
+    odd = F.when(F.col("quantity") == 1, "Reference ID").when(F.col("quantity") == 2, '12" ruler, "blue"')
+    ledger = frame(spark, sf_dir, "fx_ledger").withColumn("fulfillment_center", F.coalesce(odd, "fulfillment_center"))
+    folder = new_folder(spark, "ledgers")
+    _headed(ledger, "ledger").write.option("escape", '"').csv(folder, header=True)
+    return read_csv(spark, "ledger", folder)
+
+
+def _through_csv(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """A report written with two column orders, spaces in its header and one column more."""
+    headed = _headed(frame(spark, sf_dir, f"fx_{source}"), source)
+    first = SOURCES[source].first_column
+    start = [F.col(f"`{first}`").alias("Datum")] if first else []
+    rest = [c for c in headed.columns if c != first]
+    turned = F.xxhash64(*[F.col(f"`{c}`") for c in rest]) % 2 == 0
+    folder = new_folder(spark, source)
+    for part, names, rows in (("a", rest, headed.filter(turned)), ("b", rest[::-1], headed.filter(~turned))):
+        columns = [F.col(f"`{c}`").alias(f" {c} ") for c in names]
+        rows.select(*start, *columns, F.lit("x").alias("more")).write.option("escape", '"').csv(f"{folder}/{part}", header=True)
+    return _as_double(read_csv(spark, source, [f"{folder}/a", f"{folder}/b"]))
+
+
+@query
+def csv_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_csv(spark, sf_dir, "payments")
+
+
+@query
+def csv_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_csv(spark, sf_dir, "returns")
+
+
+@query
+def csv_reimbursements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_csv(spark, sf_dir, "reimbursements")
 
 
 @query

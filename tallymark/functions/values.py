@@ -38,9 +38,16 @@ def or_zero(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
 
 
-def whole_number(column: Column) -> Column:
-    """Integer from a number or a number-like text such as ``12.0`` (truncates)."""
-    return column.cast("decimal(24,4)").cast("bigint")
+def whole_number(column: Column, strict: bool | None = None) -> Column:
+    """Integer from a number or a number-like text such as ``12.0`` (truncates).
+
+    By default text that is no number raises and a missing value stays null.  With
+    ``strict`` a missing value raises too; with ``strict=False`` neither does.
+    """
+    if strict is False:
+        return column.try_cast("decimal(24,4)").cast("bigint")
+    number = column.cast("decimal(24,4)").cast("bigint")
+    return F.coalesce(number, F.raise_error(F.lit("a whole number is missing")).cast("bigint")) if strict else number
 
 
 def money(column: Column, thousands: bool = False, strict: bool = True) -> Column:

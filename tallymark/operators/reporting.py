@@ -283,6 +283,12 @@ REPORTS: dict[str, Report] = {
 }
 
 
+REPORTS["rejected_quantities"] = Report(
+    title="Rejected quantities",
+    columns={"source": "Report", "order_id": "Order ID", "sku": "SKU", "date": "Date", "quantity": "Quantity"},
+)
+
+
 def zero_flag(value: Column) -> Column:
     """PASS where a difference is 0; a missing difference fails too."""
     return F.when(value == 0, PASS).otherwise(FAIL)

@@ -17,9 +17,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may go without the setting; it gets a temporary folder.
     """
     folder = spark.conf.get(FOLDER_SETTING, None)
+    master = spark.sparkContext.master
+    local = master == "local" or master.startswith("local[")
+    if folder and not local and "://" not in folder and not folder.startswith("file:"):
+        raise ValueError(f"{FOLDER_SETTING} must name its file system on a cluster, not only a path: {folder}")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError(f"set {FOLDER_SETTING} to a folder shared by all executors")
     global _local_folder
     if _local_folder is None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.grouping import sum_by
@@ -13,6 +13,12 @@ RUN_SIZE = 256
 MAX_RUNS = 65_536
 
 
+def _checked(quantity: str) -> Column:
+    whole = F.col(quantity).cast("bigint")
+    message = F.concat(F.lit(f"negative {quantity}: "), whole.cast("string"))
+    return F.when(whole < 0, F.raise_error(message).cast("bigint")).otherwise(whole)
+
+
 def split_runs(
     df: DataFrame,
     quantity: str,
@@ -26,9 +32,10 @@ def split_runs(
 
     A run holds ``run_size`` units, or more where a single row would otherwise need
     over ``MAX_RUNS`` runs.  The runs of a huge row are rows of their own, so a later
-    shuffle can spread them.  Quantities are truncated; those below 1 give no run.
+    shuffle can spread them.  Quantities are truncated; 0 gives no run, a negative
+    quantity raises (``non_negative`` sets such rows aside beforehand).
     """
-    whole = F.col(quantity).cast("bigint")
+    whole = _checked(quantity)
     step = F.greatest(F.lit(run_size).cast("bigint"), F.ceil(whole / MAX_RUNS))
     return (
         df.filter(whole >= 1)
@@ -61,7 +68,7 @@ def explode_units(df: DataFrame, keys: Sequence[str], quantity: str, unit_no: st
     Lines with equal keys are added up first: their units are alike, and numbering
     them then needs no sort.
     """
-    lines = df.filter(F.col(quantity) >= 1).withColumn(quantity, F.col(quantity).cast("bigint"))
+    lines = df.withColumn(quantity, _checked(quantity)).filter(F.col(quantity) >= 1)
     totals = sum_by(lines, keys, _quantity=quantity)
     runs = split_runs(totals, "_quantity").repartition(*keys, "run_no")
     numbers = F.sequence(F.col("first_unit") + 1, F.col("first_unit") + F.col("units"))
@@ -71,3 +78,8 @@ def explode_units(df: DataFrame, keys: Sequence[str], quantity: str, unit_no: st
 def negative_quantities(df: DataFrame, quantity: str) -> DataFrame:
     """Lines whose quantity cannot be turned into units."""
     return df.filter(F.col(quantity) < 0)
+
+
+def non_negative(df: DataFrame, quantity: str) -> DataFrame:
+    """The other lines."""
+    return df.filter(~F.coalesce(F.col(quantity) < 0, F.lit(False)))

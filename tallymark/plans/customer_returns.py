@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from tallymark.functions.keys import SKU_PREFIX, normalize_ledger_sku, normalize_sku
 from tallymark.functions.values import iso_day, money, or_zero, prorated, sum_or_zero, us_day
 from tallymark.operators.grouping import all_present, sum_by
-from tallymark.operators.matching import MAX_SLICES, MAX_WINDOW_ROWS, daily_units, match_nearest
+from tallymark.operators.matching import daily_units, match_nearest
 from tallymark.operators.staging import stage
-from tallymark.operators.units import split_runs
+from tallymark.operators.units import negative_quantities, non_negative, split_runs
 
 # What the reports themselves write in these columns.
 REFUND = "Refund"
@@ -47,15 +47,18 @@ REIMBURSED_MEASURES = (
 
 @dataclass(frozen=True)
 class ReturnsOptions:
-    """``month`` keeps refunds whose date text starts with it, for example ``Feb``."""
+    """``month`` keeps refunds whose date text starts with it, for example ``Feb``.
+
+    Quantities below 0 cannot become units: they raise, or with ``reject_negative`` go to
+    a report of their own.
+    """
 
     month: str | None = None
     sku_prefix: str = SKU_PREFIX
     ledger_date_pattern: str = "M/d/yyyy"
     thousands: bool = False
     strict: bool = True
-    max_window_rows: int = MAX_WINDOW_ROWS
-    max_slices: int = MAX_SLICES
+    reject_negative: bool = False
 
 
 DEFAULTS = ReturnsOptions()
@@ -186,6 +189,7 @@ def cash_reimbursement(reimbursed_lines: DataFrame, reimbursements: DataFrame, s
 def restocked_runs(refunded: DataFrame, returned: DataFrame, options: ReturnsOptions = DEFAULTS) -> DataFrame:
     """Returned units that went back to stock, in runs of alike units."""
     lines = returns_by(returned.filter(F.col("status").isin(*RESTOCKED)), "return_date", "fulfillment_center_id")
+    lines = non_negative(lines, "quantity_returns") if options.reject_negative else lines
     joined = lines.join(refunded.select(*ORDER, "total"), list(ORDER)).withColumn(
         "return_day", iso_day(F.col("return_date"), options.strict)
     )
@@ -197,6 +201,7 @@ def inventory_reimbursed_runs(
 ) -> DataFrame:
     """Units reimbursed in inventory, in runs of alike units."""
     paid = dated_reimbursements.filter(F.col("quantity_reimbursed_inventory") != 0)
+    paid = non_negative(paid, "quantity_reimbursed_inventory") if options.reject_negative else paid
     joined = reimbursed_lines.join(
         paid.select(*ORDER, "approval_date", "quantity_reimbursed_inventory"), list(ORDER)
     ).withColumn("approval_day", iso_day(F.col("approval_date"), options.strict))
@@ -215,7 +220,29 @@ def restocked_ledger(ledger: DataFrame, options: ReturnsOptions = DEFAULTS) -> D
 
 def ledger_days(ledger: DataFrame, options: ReturnsOptions = DEFAULTS) -> DataFrame:
     """Units restocked per SKU, centre and day."""
-    return daily_units(restocked_ledger(ledger, options), BLOCK, "ledger_day", "quantity")
+    lines = restocked_ledger(ledger, options)
+    lines = non_negative(lines, "quantity") if options.reject_negative else lines
+    return daily_units(lines, BLOCK, "ledger_day", "quantity")
+
+
+def rejected_quantities(
+    returned: DataFrame, dated_reimbursements: DataFrame, ledger: DataFrame, options: ReturnsOptions = DEFAULTS
+) -> DataFrame:
+    """Lines that reports 4 and 5 leave out because their quantity is below 0."""
+    restocked = returns_by(returned.filter(F.col("status").isin(*RESTOCKED)), "return_date", "fulfillment_center_id")
+    none = F.lit(None).cast("string")
+    sides = (
+        ("returns", restocked, "quantity_returns", F.col("order_id"), F.col("return_date")),
+        ("reimbursements", dated_reimbursements, "quantity_reimbursed_inventory", F.col("order_id"), F.col("approval_date")),
+        ("ledger", restocked_ledger(ledger, options), "quantity", none, F.col("ledger_day").cast("string")),
+    )
+    lines = [
+        negative_quantities(df, name).select(
+            F.lit(source).alias("source"), order.alias("order_id"), "sku", date.alias("date"), F.col(name).cast("bigint").alias("quantity")
+        )
+        for source, df, name, order, date in sides
+    ]
+    return lines[0].unionByName(lines[1]).unionByName(lines[2])
 
 
 def _verdict(matched: DataFrame, columns: Sequence[Column]) -> DataFrame:
@@ -223,7 +250,8 @@ def _verdict(matched: DataFrame, columns: Sequence[Column]) -> DataFrame:
     found = F.col("right_date").isNotNull()
     one = F.lit(1).cast("bigint")
     return (
-        matched.withColumn("_unit", F.explode(F.sequence(one, F.col("units"))))
+        matched.hint("rebalance")  # a hot day's runs leave their task before they become units
+        .withColumn("_unit", F.explode(F.sequence(one, F.col("units"))))
         .select(
             *columns,
             F.col("right_date").alias("date_added"),
@@ -236,30 +264,26 @@ def _verdict(matched: DataFrame, columns: Sequence[Column]) -> DataFrame:
 
 
 def returned_to_inventory(runs: DataFrame, ledger_by_day: DataFrame, options: ReturnsOptions = DEFAULTS) -> DataFrame:
-    """Report 4, from staged ``restocked_runs`` and ``ledger_days``."""
+    """Report 4, from ``restocked_runs`` and ``ledger_days``."""
     matched = match_nearest(
         runs,
         ledger_by_day,
         block=BLOCK,
         left_date="return_day",
         order=("order_id", "status", "return_date", "run_no"),
-        max_rows=options.max_window_rows,
-        max_slices=options.max_slices,
     )
     one = F.lit(1).cast("bigint")
     return _verdict(matched, [*map(F.col, BLOCK), F.col("return_day"), one.alias("return_quantity"), F.col("total")])
 
 
 def inventory_reimbursement(runs: DataFrame, ledger_by_day: DataFrame, options: ReturnsOptions = DEFAULTS) -> DataFrame:
-    """Report 5, from staged ``inventory_reimbursed_runs`` and the same ledger days."""
+    """Report 5, from ``inventory_reimbursed_runs`` and the same ledger days."""
     matched = match_nearest(
         runs,
         ledger_by_day,
         block=BLOCK,
         left_date="approval_day",
         order=("order_id", "approval_date", "run_no"),
-        max_rows=options.max_window_rows,
-        max_slices=options.max_slices,
     )
     return _verdict(matched, [*map(F.col, BLOCK), F.col("approval_day"), F.col("reimbursed"), F.col("total")])
 
@@ -290,10 +314,11 @@ def reconcile(
     )
     by_key = reimbursements_by(dated)
     reimbursed_lines = stage(reimbursed_refunds(refunded, returned), "reimbursed")
-    restocked = stage(restocked_runs(refunded, returned, options), "restocked")
-    granted = stage(inventory_reimbursed_runs(reimbursed_lines, dated.filter(F.col("approval_date").isNotNull()), options), "granted")
+    restocked = restocked_runs(refunded, returned, options)
+    granted = inventory_reimbursed_runs(reimbursed_lines, dated.filter(F.col("approval_date").isNotNull()), options)
     days = stage(ledger_days(ledger, options), "ledger")
-    return {
+    rejected = {"rejected_quantities": rejected_quantities(returned, dated, ledger, options)} if options.reject_negative else {}
+    return rejected | {
         "refunds_vs_returns": refunds_vs_returns(refunded, returned),
         "returns_vs_reimbursements": returns_vs_reimbursements(reimbursed_lines, by_key),
         "cash_reimbursement": cash_reimbursement(reimbursed_lines, by_key, settlements(payments, options)),

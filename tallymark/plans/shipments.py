@@ -41,15 +41,15 @@ RECEIPTS = "Receipts"
 KEYS = ["fba_id", "sku"]
 
 
-def clean_bookings(bookings: DataFrame) -> DataFrame:
+def clean_bookings(bookings: DataFrame, strict: bool = True) -> DataFrame:
     return (
         bookings.withColumn("fba_id", text_or(F.col("fba_id")))
         .filter(is_shipment_id(F.col("fba_id")))
         .select(
             "fba_id",
             without_condition(without_decimal_suffix(text_or(F.col("sku")))).alias("sku"),
-            whole_number(F.col("cartons")).alias("cartons"),
-            whole_number(F.col("qty")).alias("qty"),
+            whole_number(F.col("cartons"), strict).alias("cartons"),
+            whole_number(F.col("qty"), strict).alias("qty"),
             "booking_date",
         )
     )
@@ -59,7 +59,7 @@ def booked_ids(bookings: DataFrame) -> DataFrame:
     return bookings.select("fba_id").distinct()
 
 
-def clean_dispatches(dispatches: DataFrame, bookings: DataFrame) -> DataFrame:
+def clean_dispatches(dispatches: DataFrame, bookings: DataFrame, strict: bool = True) -> DataFrame:
     """Dispatch lines from the files of booked shipments."""
     booked = booked_ids(bookings)
     if "file_name" in dispatches.columns:
@@ -71,7 +71,7 @@ def clean_dispatches(dispatches: DataFrame, bookings: DataFrame) -> DataFrame:
         "fba_id",
         "dispatch_date",
         without_decimal_suffix(text_or(F.col("sku"))).alias("sku"),
-        whole_number(F.col("inv_qty")).alias("inv_qty"),
+        whole_number(F.col("inv_qty"), strict).alias("inv_qty"),
     )
 
 
@@ -202,8 +202,8 @@ def reconcile(
     What several of them read is staged once.  The detail report numbers its copies so
     that the sink can sort and spread a line repeated very often.
     """
-    booked = stage(clean_bookings(bookings), "bookings")
-    sent = stage(clean_dispatches(dispatches, booked), "dispatches")
+    booked = stage(clean_bookings(bookings, strict), "bookings")
+    sent = stage(clean_dispatches(dispatches, booked, strict), "dispatches")
     arrived = stage(booked_receipts(ledger, booked, date_pattern, strict), "receipts")
     by_sku = stage(shipment_by_sku(booked, sent, arrived), "by-sku")
     return {

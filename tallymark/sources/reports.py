@@ -1,7 +1,7 @@
 """Report files as DataFrames with declared columns.
 
-Files are read as text columns by header name, so neither extra columns nor their
-order matter, and then cast.  Identifiers stay text.
+Each file's columns are found by its header, so neither extra columns nor their order
+matter, and then cast.  Identifiers stay text.
 """
 
 from __future__ import annotations
@@ -108,11 +108,12 @@ def clean_header(df: DataFrame, upper: bool = False, first_column: str | None =
     return df.toDF(*names)
 
 
-def _typed(column: Column, kind: str, thousands: bool) -> Column:
+def _typed(column: Column, kind: str, thousands: bool, strict: bool = True) -> Column:
     if kind == MONEY:
-        return money(column, thousands)
+        return money(column, thousands, strict)
     if kind == "bigint":
-        return whole_number(F.replace(column.cast("string"), F.lit(","), F.lit("")) if thousands else column)
+        column = F.replace(column.cast("string"), F.lit(","), F.lit("")) if thousands else column
+        return whole_number(column, None if strict else False)
     return column.cast(kind)
 
 
@@ -131,11 +132,25 @@ def select_report(df: DataFrame, source: str, thousands: bool = False, extra: Se
     )
 
 
-def _header_groups(spark: SparkSession, paths: Sequence[str], marker: str) -> dict[str, list[str]]:
-    """Files by header line, found in one distributed pass over the text."""
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), "value")
-    headers = lines.filter(F.contains("value", F.lit(marker))).groupBy("value").agg(F.collect_set("file").alias("files"))
-    return {row["value"]: row["files"] for row in headers.collect()}
+MAX_COLUMNS = 100
+_MANY_FILES = 100_000
+
+
+def _fields(spark: SparkSession, paths: Sequence[str], width: int, multi_line: bool) -> DataFrame:
+    """All lines of CSV files as arrays of text fields, with their file."""
+    names = [f"c{i}" for i in range(width)]
+    lines = (
+        spark.read.schema(", ".join(f"{name} string" for name in names))
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .csv(list(paths))
+    )
+    return lines.select(
+        F.array(*names).alias("fields"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("at"),
+    )
 
 
 def read_csv(
@@ -143,30 +158,47 @@ def read_csv(
     source: str,
     paths: str | Sequence[str],
     *,
-    by_name: bool = False,
+    required: Sequence[str] | None = None,
     thousands: bool = False,
+    strict: bool = True,
+    multi_line: bool = False,
+    width: int = MAX_COLUMNS,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """CSV files of one report as one frame.
+    """CSV files of one report as one frame, each file's columns found by its own header.
 
-    By default all files must have the same header, which Spark checks file by file
-    while it scans.  With ``by_name`` the header lines are read first and files with
-    another column order are scanned apart and aligned by name.
+    A header is a line at the start of a file that has all ``required`` names (by default every
+    name of the report) among its fields, trimmed and, for some reports, upper-cased.  Columns
+    that are not required and that a file lacks are null.  Doubled quotes are read as one;
+    line breaks inside quotes need ``multi_line``, which keeps a file from being split.
+    A file has at most ``width`` columns.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if not by_name:
-        return select_report(_scan(spark, paths), source, thousands)
-    marker = list(SOURCES[source].columns)[-1]
-    groups = _header_groups(spark, paths, marker)
-    frames = [select_report(_scan(spark, files), source, thousands) for _, files in sorted(groups.items())]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame, allowMissingColumns=True)
-    return result
-
-
-def _scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    header = spark.read.csv(paths[0], header=True).schema
-    return spark.read.schema(header).option("enforceSchema", False).csv(list(paths), header=True)
+    layout = SOURCES[source]
+    names = {new: header for header, (new, _) in layout.columns.items()}
+    wanted = [names[n] for n in (required or names) if names[n] != layout.first_column]
+    lines = _fields(spark, [paths] if isinstance(paths, str) else paths, width, multi_line)
+    clean = F.transform("fields", lambda c: F.upper(F.trim(c)) if layout.upper_header else F.trim(c))
+    is_header = F.forall(F.array(*map(F.lit, wanted)), lambda name: F.array_contains(clean, name))
+    lines = lines.withColumn("is_header", F.coalesce(is_header, F.lit(False)))
+    headers = lines.filter("is_header and at = 0").select("file", clean.alias("header"))
+    headers = headers.withColumn("_line", F.monotonically_increasing_id())
+    headers = headers.groupBy("file").agg(F.min_by("header", "_line").alias("header"))
+    if len(lines.inputFiles()) <= _MANY_FILES:  # one short row per file
+        headers = F.broadcast(headers)
+    rows = lines.filter(~F.col("is_header")).join(headers, "file", "left")
+    no_header = F.raise_error(F.concat(F.lit(f"{source}: no header with {wanted} in "), F.col("file"))).cast("array<string>")
+    rows = rows.withColumn("header", F.coalesce("header", no_header))
+
+    def column(name: str) -> Column:
+        if name == layout.first_column:
+            return F.element_at("fields", 1)
+        place = F.array_position("header", name)
+        return F.when(place > 0, F.get("fields", (place - 1).cast("int")))
+
+    return rows.select(
+        *[_typed(column(name), kind, thousands, strict).alias(new) for name, (new, kind) in layout.columns.items()],
+        *extra,
+    )
 
 
 def read_parquet(spark: SparkSession, source: str, paths: str | Sequence[str], thousands: bool = False) -> DataFrame:
@@ -175,11 +207,14 @@ def read_parquet(spark: SparkSession, source: str, paths: str | Sequence[str], t
     return select_report(spark.read.parquet(*paths), source, thousands)
 
 
-def read_bookings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Booking files named ``YYYY_MM_DD-...``, each dated by its name."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    files = _scan(spark, paths).select("*", F.col("_metadata.file_name").alias("file_name"))
-    return with_booking_date(select_report(files, "bookings", extra=["file_name"]))
+def read_bookings(
+    spark: SparkSession, paths: str | Sequence[str], *, strict: bool = True, thousands: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """Booking files named ``YYYY_MM_DD-...``, each dated by its name and read by its own header."""
+    files = read_csv(
+        spark, "bookings", paths, strict=strict, thousands=thousands, multi_line=multi_line, extra=["file_name"]
+    )
+    return with_booking_date(files, strict=strict)
 
 
 def with_booking_date(bookings: DataFrame, file_name: str = "file_name", strict: bool = True) -> DataFrame:

@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, DecimalType, StringType
 
 from tallymark.operators.reporting import COPY_NO, REPORTS, print_columns, totals, with_flags
 
 
+def _exact(df: DataFrame, column: str) -> DataType:
+    """Type in which a written column is added up: amounts as the decimals they were printed from."""
+    kind = df.schema[column].dataType
+    return StringType() if isinstance(kind, DateType) else kind
+
+
 def write_reports(reports: dict[str, DataFrame], folder: str, mode: str = "errorifexists") -> dict[str, str]:
     """Write each report with flags, and its totals beside it, and return the folders.
 
@@ -18,15 +26,19 @@ def write_reports(reports: dict[str, DataFrame], folder: str, mode: str = "error
         layout = REPORTS[name]
         flagged = with_flags(df, name)
         if layout.sort:
-            flagged = flagged.orderBy(*layout.sort, *(c for c in flagged.columns if c == COPY_NO))
+            number = [c for c in flagged.columns if c == COPY_NO]
+            flagged = flagged.orderBy(*[F.col(c).asc_nulls_last() for c in (*layout.sort, *number)])
         printed = print_columns(flagged.drop(COPY_NO), name)
         written[name] = f"{folder.rstrip('/')}/{name}"
         printed.write.mode(mode).parquet(written[name])
         if layout.totals:
             saved = df.sparkSession.read.schema(printed.schema).parquet(written[name])
-            plain = saved.select(*layout.columns.values())
+            plain = saved.select(*[F.col(f"`{text}`").cast(_exact(df, c)).alias(text) for c, text in layout.columns.items()])
+            sums = totals(plain, [layout.columns[c] for c in layout.totals])
+            as_printed = [
+                F.col(f"`{f.name}`").cast("double" if isinstance(f.dataType, DecimalType) else f.dataType).alias(f.name)
+                for f in sums.schema
+            ]
             written[f"{name}_totals"] = f"{written[name]}_totals"
-            totals(plain, [layout.columns[c] for c in layout.totals]).write.mode(mode).parquet(
-                written[f"{name}_totals"]
-            )
+            sums.select(*as_printed).write.mode(mode).parquet(written[f"{name}_totals"])
     return written

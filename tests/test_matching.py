@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from tallymark.operators.matching import daily_units, match_nearest
+from tallymark.operators.matching import daily_matches, daily_units, match_nearest
 from tallymark.operators.staging import stage
 
 DAY0 = datetime.date(2022, 1, 1)
@@ -80,10 +80,10 @@ def test_equals_greedy_choice(spark, shape):
     assert run(spark, left, right) == greedy(left, right)
 
 
-@pytest.mark.parametrize("max_rows", [1, 2, 5])
-def test_hot_days_are_cut_into_slices(spark, max_rows):
+@pytest.mark.parametrize("partitions", [1, 7, 60])
+def test_days_cut_by_partitions(spark, partitions):
     left, right = many_cases(40, 5000, days=2, lines=30, most=3)
-    assert run(spark, left, right, max_rows=max_rows, max_slices=10**9) == greedy(left, right)
+    assert run(spark, left, right, partitions=partitions) == greedy(left, right)
 
 
 def test_one_block_and_day_with_most_rows(spark):
@@ -91,9 +91,17 @@ def test_one_block_and_day_with_most_rows(spark):
     right = [("hot", "x", day(i % 40), 1 + i % 7) for i in range(200)] + [("cold", "x", day(5), 4)]
     expected = greedy(left, right)
     assert run(spark, left, right) == expected
-    assert run(spark, left, right, max_rows=50, max_slices=10**9) == expected
-    assert run(spark, left, right, max_rows=150, max_slices=10**9) == expected
-    assert run(spark, left, right, max_rows=10, max_slices=20) == expected
+    assert run(spark, left, right, partitions=3) == expected
+    assert run(spark, left, right, partitions=50) == expected
+
+
+def test_ranges_grow_with_days_not_with_their_square(spark):
+    days = 1000
+    left = spark.createDataFrame([("a", "x", day(2 * i), "n", 100_000) for i in range(days)], LEFT)
+    right = spark.createDataFrame([("a", "x", day(2 * i + 1), 99_999) for i in range(days)], RIGHT)
+    block = ["block", "centre"]
+    found = daily_matches(daily_units(left, block, "day", "units"), daily_units(right, block, "day", "quantity"), block)
+    assert found.count() <= 3 * days
 
 
 def test_each_right_unit_is_used_at_most_once(spark):

@@ -1,18 +1,19 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallymark.operators.grouping import with_copies
-from tallymark.operators.units import MAX_RUNS, explode_units, negative_quantities, repeat_rows, split_runs
+from tallymark.operators.units import MAX_RUNS, explode_units, negative_quantities, non_negative, repeat_rows, split_runs
 
 
 def test_runs_cover_every_unit_once(spark):
-    quantities = [0, 1, 2, 7, 8, 9, 1000, -3]
+    quantities = [0, 1, 2, 7, 8, 9, 1000]
     df = spark.createDataFrame([(i, q) for i, q in enumerate(quantities)], "id int, q bigint")
     runs = split_runs(df, "q", run_size=4).collect()
     for i, quantity in enumerate(quantities):
         covered = [u for r in runs if r.id == i for u in range(r.first_unit, r.first_unit + r.units)]
-        assert sorted(covered) == list(range(max(quantity, 0)))
+        assert sorted(covered) == list(range(quantity))
 
 
 def test_runs_of_a_huge_row_stay_bounded(spark):
@@ -29,11 +30,19 @@ def test_fractions_are_cut_off(spark):
 
 
 def test_units_are_numbered_within_their_key(spark):
-    lines = [("a", 2), ("a", 1), ("b", 0), ("c", 300), ("d", -1), (None, 4)]
+    lines = [("a", 2), ("a", 1), ("b", 0), ("c", 300), (None, 4)]
     df = spark.createDataFrame(lines, "k string, q int")
     found = Counter((r.k, r.unit_no) for r in explode_units(df, ["k"], "q").collect())
     assert found == Counter([("a", i) for i in (1, 2, 3)] + [("c", i) for i in range(1, 301)])
-    assert [tuple(r) for r in negative_quantities(df, "q").collect()] == [("d", -1)]
+
+
+def test_negative_quantities_raise_or_are_set_aside(spark):
+    df = spark.createDataFrame([("a", -3), ("b", 2), ("c", None)], "k string, q int")
+    for units in (split_runs(df, "q"), explode_units(df, ["k"], "q")):
+        with pytest.raises(Exception, match="negative q: -3"):
+            units.collect()
+    assert [tuple(r) for r in negative_quantities(df, "q").collect()] == [("a", -3)]
+    assert [r.k for r in split_runs(non_negative(df, "q"), "q").collect()] == ["b"]
 
 
 def test_copies_are_restored(spark):
