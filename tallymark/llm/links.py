@@ -15,6 +15,8 @@ def _both_ways(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Label every linked node (a, b of the links) with the smallest node that it can reach.
 
+    Nodes that are their own label, the smallest of each component, are not listed.
+
     Alternates the large-star and small-star steps of Kiveris et al. (2014) until nothing moves.
     Minima are added up before the shuffle, and each round is written to the shared folder.
     """
