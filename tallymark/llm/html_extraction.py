@@ -59,7 +59,6 @@ OTHER_NAMES = set(
     " signup login popup modal overlay pagination pager widget search form toolbar complementary contentinfo".split()
 )
 _NAME = re.compile(r"[a-z]+")
-_SPACE = re.compile(r"\s+")
 
 
 class Node:
@@ -129,17 +128,6 @@ def parse(html: str) -> Node:
     return tree.root
 
 
-def texts_of(node: Node):
-    """Texts under a node that a reader sees, in page order."""
-    stack = [node]
-    while stack:
-        top = stack.pop()
-        if isinstance(top, str):
-            yield top
-        elif top.tag not in UNSHOWN:
-            stack.extend(reversed(top.children))
-
-
 def elements(node: Node):
     stack = [node]
     while stack:
@@ -152,7 +140,7 @@ def main_text(root: Node, removed: set[str]) -> str:
     blocks, now = [], []
 
     def end():
-        text = _SPACE.sub(" ", "".join(now)).strip()
+        text = " ".join("".join(now).split())
         if text:
             blocks.append(text)
         now.clear()
@@ -184,12 +172,19 @@ def _observe(batches):
         out: list[tuple] = []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             seen: dict[str, tuple] = {}
-            for node in elements(parse(html)):
-                if not node.path or node.other:
-                    continue
-                layout, text = seen.setdefault(node.path, (xxhash.xxh64(), xxhash.xxh64()))
-                layout.update(" ".join(c.tag if isinstance(c, Node) else "#" for c in node.children) + ";")
-                text.update("\x00".join(_SPACE.sub(" ", t).strip() for t in texts_of(node)) + "\x01")
+            below: dict[int, bytes] = {}  # digest of the texts under each node
+            for node in reversed(list(elements(parse(html)))):  # children before parents
+                content = xxhash.xxh64()
+                for child in node.children:
+                    if isinstance(child, str):
+                        content.update(" ".join(child.split()))
+                    elif child.tag not in UNSHOWN:
+                        content.update(below[id(child)])
+                below[id(node)] = content.digest()
+                if node.path and not node.other:
+                    layout, text = seen.setdefault(node.path, (xxhash.xxh64(), xxhash.xxh64()))
+                    layout.update(" ".join(c.tag if isinstance(c, Node) else "#" for c in node.children) + ";")
+                    text.update(below[id(node)])
             out += [(host, p, i, (h.intdigest() - (1 << 63))) for p, two in seen.items() for i, h in enumerate(two)]
         types = (pa.string(), pa.string(), pa.int32(), pa.int64())
         columns = [pa.array([r[i] for r in out], t) for i, t in enumerate(types)]
