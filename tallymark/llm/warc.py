@@ -66,13 +66,14 @@ def write_archives(
         pages[url_column].cast("string").alias("url"),
         frames.plain_text(pages, payload_column).cast("binary").alias("payload"),
     ).select("*", F.octet_length("payload").alias("size"), F.sha1("payload").alias("digest"))
-    equal = (
+    repeated = (
         rows.where(F.col("size") >= revisit_bytes)
         .groupBy("digest")
         .agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
         .where("n > 1")
         .drop("n")
     )
+    equal = stage(repeated, "warc")  # of known size, so that Spark need not shuffle payloads to join a small one
     key = F.col("page_id").cast("string")
     revisit = F.coalesce(F.col("page_id") != F.col("response_id"), F.col("response_id").isNotNull())
     http = _lines("HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", F.concat(F.lit("Content-Length: "), F.col("size")), "", "")
