@@ -4,8 +4,8 @@ States are word histories, arcs carry smoothed n-gram log-probabilities, and a f
 from each history to the empty one and carries its backoff weight. A text is read once from left
 to right; the state is the word just read if training saw it, else the empty history.
 
-Smoothing. One word: absolute discounting, D = n1 / (n1 + 2 n2) from the counts of counts; the
-mass D V / N goes to one class of unknown words. Two words: a Dirichlet prior of `prior` words
+Smoothing. One word: absolute discounting, D = n1 / (n1 + 2 n2) from the counts of counts
+(0.5 if n1 or n2 is 0, so no word gets probability 0); the mass D V / N goes to one class of unknown words. Two words: a Dirichlet prior of `prior` words
 distributed as the one-word model, so p(w | u) = (c(uw) + prior p(w)) / (c(u) + prior) and the
 failure arc of u weighs prior / (c(u) + prior). All n-grams of the training texts are kept.
 
@@ -133,7 +133,7 @@ class Automaton:
     def __init__(self, unigrams, bigrams, distinct: float, total: float, ones: float, twos: float, prior: float):
         (self.keys, self.counts), (self.pairs, self.pair_counts) = unigrams, bigrams
         self.distinct, self.total, self.prior = distinct, total, prior
-        self.discount = ones / (ones + 2 * twos) if ones else 0.5
+        self.discount = ones / (ones + 2 * twos) if ones and twos else 0.5
 
     def read(self, tokens: np.ndarray, history: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log10 probability of each token after the state before it; whether it is known."""

@@ -114,6 +114,13 @@ def test_lm_scores(docs, texts, sizes):
         assert r.score == pytest.approx(score) and r.base_score == pytest.approx(base)
 
 
+def test_lm_scores_without_pairs_of_equal_words(spark):
+    ship(spark)
+    rows = spark.createDataFrame([(1, "all words differ"), (2, "differ otherwise")], "doc_id long, text string")
+    found = lm_scoring.score_texts(rows, F.col("doc_id") == 2).collect()
+    assert len(found) == 2 and all(-20 < r.score < 0 for r in found)
+
+
 def test_leaks_with_substitutions(spark, docs):
     g = random.Random(8)
     item = [f"w{g.randint(0, 10**6)}" for _ in range(40)]
