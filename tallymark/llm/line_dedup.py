@@ -9,7 +9,7 @@ The join (after Li et al., Pass-Join, 2011). A line is split into edits + 1 segm
 near, one of them holds a segment of the other unchanged, not far from its place. Each line lists
 its segments, and for every length down to `edits` less, the few substrings that could be such a
 segment (multi-match aware). Equal hashes of segment and substring give candidates; those
-whose code point parities allow it are verified by banded bit-parallel edit distance over the full lines.
+whose parities of code points and of adjacent pairs allow it are verified by banded bit-parallel edit distance over the full lines.
 
 Only classes are asked for, so candidates are verified in two rounds: first each line against the
 smallest line of its hash, then, between classes that still differ, all candidates. A group of
@@ -96,6 +96,13 @@ def parities(points: np.ndarray) -> int:
     return int(np.packbits(odd.astype(np.uint8)).view(">u8")[0])
 
 
+def pair_parities(points: np.ndarray) -> np.ndarray:
+    """The same for 128 classes of adjacent code points, as two numbers; an edit turns four bits at most."""
+    adjacent = points[:-1].astype(np.uint64) * np.uint64(0x110000) + points[1:]
+    odd = np.bincount((words.mix(adjacent) >> np.uint64(57)).astype(np.int64), minlength=128) & 1
+    return np.packbits(odd.astype(np.uint8)).view(">i8")
+
+
 def _texts(batches):
     for batch in batches:
         for texts in words.slices(batch.column("text")):
@@ -197,6 +204,13 @@ def _fetch(min_chars: int):
     return run
 
 
+def _sign(batches):
+    for batch in batches:
+        marks = [pair_parities(_code_points(x.encode())) for x in batch.column("normal").to_pylist()]
+        sides = [pa.array([int(m[k]) for m in marks], pa.int64()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *sides], ["line", "normal", "pairs_0", "pairs_1"])
+
+
 def _verify(edits: int):
     def run(batches):
         for batch in batches:
@@ -215,7 +229,8 @@ def _verify(edits: int):
 
 def _near(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    joined = pairs.join(texts.toDF("a", "normal_a"), "a").join(texts.toDF("b", "normal_b"), "b")
+    normal = texts.select("line", "normal")
+    joined = pairs.join(normal.toDF("a", "normal_a"), "a").join(normal.toDF("b", "normal_b"), "b")
     return stage(joined.mapInArrow(_verify(edits), "a long, b long"), "lines")
 
 
@@ -233,9 +248,13 @@ def line_classes(
     met = stage(lists.groupBy("bucket").applyInArrow(_meetings, "seed long, line long, side int, parities long"), "lines")
     wanted = met.select("line").distinct()
     texts = rows.mapInArrow(_fetch(min_chars), "line long, normal string").join(wanted, "line", "left_semi")
-    texts = stage(texts.dropDuplicates(["line"]), "lines")
+    signed = "line long, normal string, pairs_0 long, pairs_1 long"
+    texts = stage(texts.dropDuplicates(["line"]).mapInArrow(_sign, signed), "lines")
+
+    def differing(name: str):
+        return F.bit_count(F.col(f"{name}_a").bitwiseXOR(F.col(f"{name}_b")))
 
-    alike = F.bit_count(F.col("parities_a").bitwiseXOR(F.col("parities_b"))) <= 2 * edits
+    alike = differing("parities") <= 2 * edits
     pivots = met.groupBy("seed").agg(F.min(F.struct("line", "parities")).alias("p"))
     pivots = pivots.select("seed", F.col("p.line").alias("a"), F.col("p.parities").alias("parities_a"))
     paired = met.withColumnRenamed("parities", "parities_b").join(pivots, "seed").where(alike)
@@ -245,10 +264,13 @@ def line_classes(
     named = named.withColumn("label", F.coalesce("label", "line"))
     open_seeds = named.groupBy("seed").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     named = named.join(open_seeds.where("low <> high").select("seed"), "seed")
+    named = named.join(texts.drop("normal"), "line")
+    columns = ("line", "label", "parities", "pairs_0", "pairs_1")
     segments, probes = (
-        named.where(F.col("side") == k).select("seed", *[F.col(c).alias(f"{c}_{n}") for c in ("line", "label", "parities")])
+        named.where(F.col("side") == k).select("seed", *[F.col(c).alias(f"{c}_{n}") for c in columns])
         for k, n in enumerate("ab")
     )
+    alike &= differing("pairs_0") + differing("pairs_1") <= 4 * edits
     pairs = segments.join(probes, "seed").where(alike & (F.col("label_a") != F.col("label_b")))
     second = _near(pairs.select(F.col("line_a").alias("a"), F.col("line_b").alias("b")), texts, edits)
     return links.components(first.union(second)).withColumnRenamed("node", "line")

@@ -173,6 +173,19 @@ def test_banded_edit_distance(band):
     assert edit_distance.within(*sides, band).tolist() == [edits(a, b) <= band for a, b in pairs]
 
 
+def test_an_edit_turns_few_parities():
+    g = random.Random(9)
+    bits = lambda marks: "".join(f"{int(m) & (1 << 64) - 1:064b}" for m in np.atleast_1d(marks))
+    for _ in range(500):
+        a = [ord(g.choice("abcé")) for _ in range(g.randint(1, 40))]
+        b = list(a)
+        at = g.randrange(len(b))
+        b[at : at + g.randint(0, 1)] = g.choice([[], [ord("a")], [ord("z")]])
+        for marks, most in ((line_dedup.parities, 2), (line_dedup.pair_parities, 4)):
+            one, two = (bits(marks(np.array(x, dtype=np.uint32))) for x in (a, b or [1]))
+            assert not b or sum(x != y for x, y in zip(one, two)) <= most
+
+
 def removed_lines(texts, most=2, least=24):
     """The lines that go, by document: a line stays if it is the first of its class."""
     places, order = {}, []
