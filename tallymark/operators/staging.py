@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 FOLDER_SETTING = "spark.checkpoint.dir"
 _local_folder: tempfile.TemporaryDirectory | None = None
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,4 +46,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     folder = new_folder(spark, label)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    staged = spark.read.schema(df.schema).parquet(folder)
+    _folders[staged] = folder
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete tables that `stage` returned, once nothing that is still to be computed reads them."""
+    for frame in staged:
+        folder = _folders.pop(frame, None)
+        if folder:
+            spark = frame.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
