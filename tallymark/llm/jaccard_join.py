@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymark.llm import frames, links, packed, words
-from tallymark.operators.staging import stage
+from tallymark.operators.staging import discard, stage
 
 SHINGLE = 5
 PERCENT = 75
@@ -388,6 +388,7 @@ def components(
     labelled = filed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     second = _links(points, labelled, percent, False, cell_points, unit_rows)
     labels = links.components(first.union(second))
+    discard(points, first, second)
 
     placed = listed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = placed.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("smallest"))

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from tallymark.llm import frames, links, packed, words
 from tallymark.llm.edit_distance import within
-from tallymark.operators.staging import stage
+from tallymark.operators.staging import discard, stage
 
 EDITS = 2
 MIN_CHARS = 24
@@ -273,7 +273,9 @@ def line_classes(
     alike &= differing("pairs_0") + differing("pairs_1") <= 4 * edits
     pairs = segments.join(probes, "seed").where(alike & (F.col("label_a") != F.col("label_b")))
     second = _near(pairs.select(F.col("line_a").alias("a"), F.col("line_b").alias("b")), texts, edits)
-    return links.components(first.union(second)).withColumnRenamed("node", "line")
+    classes = links.components(first.union(second)).withColumnRenamed("node", "line")
+    discard(met, texts, first, second)
+    return classes
 
 
 def _list_lines(batches):

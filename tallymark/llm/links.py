@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.operators.staging import stage
+from tallymark.operators.staging import discard, stage
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -38,5 +38,6 @@ def components(links: DataFrame) -> DataFrame:
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(smallest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        now = stage(small.union(smallest.select("a", F.col("m").alias("b"))).distinct(), "links")
+        before, now = now, stage(small.union(smallest.select("a", F.col("m").alias("b"))).distinct(), "links")
+        discard(before)
     return now.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("node"), "label")

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,12 +121,22 @@ def _measure(batches):
             yield pa.RecordBatch.from_pydict(columns | _figures(texts))
 
 
-def _measured(docs: DataFrame, text_column: str, host_column: str, keep: list[str]) -> DataFrame:
+def _host(docs: DataFrame, host_column: str) -> Column:
+    return F.coalesce(docs[host_column].cast("string"), F.lit(""))
+
+
+def _content(docs: DataFrame, text_column: str, host_column: str) -> Column:
+    """Digest of host and text, on which alone a verdict depends."""
+    host = _host(docs, host_column)
+    return F.unhex(F.md5(F.concat(F.length(host).cast("string"), F.lit(":"), host, frames.plain_text(docs, text_column)).cast("binary")))
+
+
+def _measured(docs: DataFrame, text_column: str, host_column: str, kept: Column) -> DataFrame:
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"),
-        F.coalesce(docs[host_column].cast("string"), F.lit("")).alias("_host"),
+        _host(docs, host_column).alias("_host"),
         frames.plain_text(docs, text_column).alias("_text"),
-        F.struct(*[docs[c] for c in keep]).alias("_kept"),
+        kept.alias("_kept"),
     )
     schema = T.StructType([f for f in rows.schema.fields if f.name != "_text"])
     for name in FIGURES:
@@ -146,8 +156,8 @@ def boilerplate(lines: DataFrame, rules: Rules) -> DataFrame:
     ).select("_host", "line")
 
 
-def _judged(docs: DataFrame, rules: Rules, text_column: str, host_column: str, keep: list[str]) -> DataFrame:
-    rows = _measured(docs, text_column, host_column, keep)
+def _judged(docs: DataFrame, rules: Rules, text_column: str, host_column: str, kept: Column) -> DataFrame:
+    rows = _measured(docs, text_column, host_column, kept)
     lines = rows.select("_row", "_host", F.explode(F.arrays_zip("lines", "around", "line_words")).alias("l")).select(
         "_row", "_host", F.col("l.lines").alias("line"), F.col("l.around").alias("around"), "l.line_words"
     )
@@ -180,8 +190,8 @@ def assess(
     host_column: str = "source",
 ) -> DataFrame:
     """One row per document: figures, base_failed, kept, removed_words."""
-    judged = _judged(docs, rules, text_column, host_column, [id_column])
-    return judged.select(F.col("_kept")[id_column].alias("doc_id"), *FIGURES, "base_failed", "kept", "removed_words")
+    judged = _judged(docs, rules, text_column, host_column, docs[id_column])
+    return judged.select(F.col("_kept").alias("doc_id"), *FIGURES, "base_failed", "kept", "removed_words")
 
 
 def _cut(batches):
@@ -207,10 +217,16 @@ def _cut(batches):
 def filtered(
     docs: DataFrame, rules: Rules = Rules(), text_column: str = "text", host_column: str = "source"
 ) -> DataFrame:
-    """Documents that pass, without their boilerplate lines; same columns."""
-    judged = _judged(docs, rules, text_column, host_column, docs.columns).where("kept")
-    rows = judged.select(
-        F.col("_kept").alias("kept_row"), F.col("_kept")[text_column].alias("text"), "removed_lines"
+    """Documents that pass, without their boilerplate lines; same columns.
+
+    Verdicts are staged without texts and come back by the digest of host and text.
+    """
+    key = _content(docs, text_column, host_column)
+    judged = _judged(docs, rules, text_column, host_column, key).where("kept")
+    verdicts = judged.select(F.col("_kept").alias("key"), "removed_lines").dropDuplicates(["key"])
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("kept_row"), key.alias("key"))
+    rows = whole.join(verdicts, "key").select(
+        "kept_row", F.col("kept_row")[text_column].alias("text"), "removed_lines"
     )
     schema = T.StructType([rows.schema["kept_row"], T.StructField("text", T.StringType())])
     cut = rows.mapInArrow(_cut, schema)
