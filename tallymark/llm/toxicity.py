@@ -1,20 +1,24 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are fitted on a bounded sample of labelled texts. The ordinary one is
-trained on ordinary texts. The toxic one holds the same bytes at the same distance and, in front,
-the passages that mark toxic texts: pieces of words that are common in toxic texts and all but
-absent from ordinary ones, taken greedily, each explaining words that no earlier one explains, and
-lengthened as long as the texts agree on what follows. So the two compress ordinary text
-alike, and a window that gets shorter under the toxic dictionary repeats a toxic passage.
-
-Every window of `window_words` words (half overlapping, to the end of the text) is compressed
-with both. The differences of a text give two figures, the sum of the gains and the largest one,
-and a logistic curve fitted on the sample, weighted to the share of toxic labels, turns them into a
-score between 0 and 1.
+Two zstandard dictionaries of one size are trained on a bounded sample of labelled texts, one on the
+windows of ordinary texts, one on those of toxic texts. By themselves they find few toxic texts, as
+most of a toxic text is ordinary. So a third one, the marked dictionary, holds the bytes of the
+ordinary one at the same distance and, in front, the passages that mark toxic texts: pieces of words
+that are common in toxic texts and all but absent from ordinary ones, taken greedily, each explaining
+words that no earlier one explains, and lengthened as long as the texts agree on what follows. A
+window that gets shorter under it than under the ordinary one repeats a toxic passage.
+
+Every window of `window_words` words (half overlapping, to the end of the text) is compressed with
+all three. A text has three figures: the sum of the gains of the marked dictionary over the ordinary
+one, the largest of these, and the mean difference between the two trained dictionaries, which does
+not grow with length. A logistic curve fitted on the sample, weighted to the share of toxic labels,
+turns them into a score between 0 and 1. The mean differences of the sample come from dictionaries
+trained on its other half, as a dictionary knows its own texts too well. Without marking passages
+the trained dictionaries decide alone.
 
 How it is spread. The sample is the `sample_rows` rows of each label with the smallest hash of
 the id, texts of up to `sample_bytes` only; that bounds what the driver sees. Scoring is one pass over all
-whole texts without any shuffle, and the dictionaries (about 70 KB) travel with the tasks.
+whole texts without any shuffle, and the dictionaries (about 200 KB) travel with the tasks.
 
 Edge cases. A missing or empty text has no gain and gets the score of texts without gain. Repeated
 labels count as often as they stand. If the sample lacks toxic or ordinary texts, every score is the
@@ -114,33 +118,46 @@ def _lengthened(piece: bytes, holders: list[bytes], counts: Counter) -> bytes:
     return piece
 
 
+def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
+    parameters = zstandard.ZstdCompressionParameters.from_level(
+        LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False
+    )
+    if not dictionary:
+        return zstandard.ZstdCompressor(compression_params=parameters)
+    content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(dict_data=content, compression_params=parameters)
+
+
+def _trained(texts: list[bytes], window: int) -> bytes:
+    """Dictionary trained by zstandard on the windows of texts."""
+    samples = [w for t in texts for w in windows(t, window)]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=6, level=3).as_bytes()
+    except zstandard.ZstdError:  # too little text to choose from: take it all
+        return b"".join(samples)[-DICTIONARY_BYTES:]
+
+
 @dataclass
 class Model:
     ordinary: bytes
     toxic: bytes
-    weights: tuple[float, float, float]
+    marked: bytes
+    weights: tuple[float, ...]
     window: int = WINDOW_WORDS
 
     def figures(self, texts: list[bytes]) -> np.ndarray:
-        """Sum of the gains and largest gain of each text."""
-        parameters = zstandard.ZstdCompressionParameters.from_level(
-            LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False
-        )
-        plain, toxic = (
-            zstandard.ZstdCompressor(
-                dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
-                compression_params=parameters,
-            )
-            for d in (self.ordinary, self.toxic)
-        )
-        out = np.zeros((len(texts), 2))
+        """Sum of the gains and largest gain by passages, and mean difference of the trained dictionaries."""
+        plain, toxic, marked = (_compressor(d) for d in (self.ordinary, self.toxic, self.marked))
+        out = np.zeros((len(texts), 3))
         for i, text in enumerate(texts):
-            total = most = 0
+            total = most = apart = n = 0
             for window in windows(text, self.window):
-                saved = len(plain.compress(window)) - len(toxic.compress(window))
+                size = len(plain.compress(window))
+                saved = size - len(marked.compress(window))
                 if saved > 0:
                     total, most = total + saved, max(most, saved)
-            out[i] = math.log1p(total), most
+                apart, n = apart + size - len(toxic.compress(window)), n + 1
+            out[i] = math.log1p(total), most, apart / max(n, 1)
         return out
 
     def score(self, texts: list[bytes]) -> np.ndarray:
@@ -168,23 +185,32 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 def fit(toxic: list[bytes], ordinary: list[bytes], share: float, window: int = WINDOW_WORDS) -> Model:
     """Fit dictionaries and curve; share is the part of toxic labels to calibrate to."""
     share = min(max(share, 1e-9), 1 - 1e-9)
-    flat = (math.log(share / (1 - share)), 0.0, 0.0)
-    samples = [w for t in ordinary for w in windows(t, window)]
-    passages = toxic_passages(toxic, ordinary) if toxic and ordinary else []
-    if not passages:
-        return Model(b"", b"", flat, window)
-    try:
-        base = zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=6, level=3).as_bytes()
-    except zstandard.ZstdError:  # too little text to choose from: take it all
-        base = b"".join(samples)[-DICTIONARY_BYTES:]
-    model = Model(base, b"".join(reversed(passages)) + base, flat, window)
+    flat = (math.log(share / (1 - share)), 0.0, 0.0, 0.0)
+    if not toxic or not ordinary:
+        return Model(b"", b"", b"", flat, window)
+    base = _trained(ordinary, window)
+    passages = b"".join(reversed(toxic_passages(toxic, ordinary)))
+    model = Model(base, _trained(toxic, window), passages + base, flat, window)
     texts = toxic + ordinary
+    figures = model.figures(texts)
+    figures[:, 2] = _apart(toxic, ordinary, window)
     y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
     weight = np.where(y > 0, share / len(toxic), (1 - share) / len(ordinary)) * len(texts)
-    model.weights = _logistic(model.figures(texts), y, weight)
+    model.weights = _logistic(figures, y, weight)
     return model
 
 
+def _apart(toxic: list[bytes], ordinary: list[bytes], window: int) -> np.ndarray:
+    """Mean differences of texts by dictionaries trained on the other half of the sample."""
+    half = np.concatenate((np.arange(len(toxic)) % 2, np.arange(len(ordinary)) % 2))
+    texts, out = toxic + ordinary, np.zeros(len(half))
+    for k in (0, 1):
+        base = _trained(ordinary[1 - k :: 2], window)
+        model = Model(base, _trained(toxic[1 - k :: 2], window), base, (), window)
+        out[half == k] = model.figures([t for t, h in zip(texts, half) if h == k])[:, 2]
+    return out
+
+
 def _sample(labelled: DataFrame, label: int, rows: int, most_bytes: int) -> list[bytes]:
     part = labelled.where((F.col("toxic") == label) & F.octet_length("text").between(1, most_bytes))
     part = part.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(rows)

@@ -288,6 +288,21 @@ def test_toxic_texts(spark):
     assert {r.predicted for r in flat} == {0}
 
 
+def test_toxic_texts_without_common_terms():
+    g = random.Random(13)
+    mild = [a + b + c for a in "ta ri mo le".split() for b in "ven sol kar bi".split() for c in "na zu".split()]
+    rare = ["".join(g.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(400)]
+
+    def text(part):
+        return " ".join(g.choice(mild if g.random() > part else rare) for _ in range(80)).encode()
+
+    toxic, ordinary = [text(0.25) for _ in range(30)], [text(0) for _ in range(120)]
+    assert not toxicity.toxic_passages(toxic, ordinary)  # each rare word is in too few texts
+    model = toxicity.fit(toxic, ordinary, 0.2)
+    low, high = model.score([text(0) for _ in range(20)]), model.score([text(0.25) for _ in range(20)])
+    assert low.max() < toxicity.THRESHOLD < high.min()
+
+
 def test_quality_figures(docs, texts):
     for r in quality.assess(docs).collect():
         text = texts[r.doc_id] or ""
