@@ -1,24 +1,24 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised (A-Z lower-cased, white space to one space) and hashed. A line is boilerplate
-on a host if more than `max_documents` distinct documents of the host hold it, in more than as many
-distinct surroundings (the lines before and after), and in half as many surroundings as documents
-or more. The surroundings tell boilerplate from copies of a document, whose lines keep their
-neighbours; copies are left to the near-duplicate operators. Boilerplate lines are removed, and
-a document is rejected as depleted if fewer than `min_left_words` words or less than
-`min_left_share` of its words remain.
+on a host if more than `max_documents` distinct documents of the host hold it, and more than the
+part `min_host_share` of the host's distinct documents. Documents with the same sequence of
+normalised lines are copies and count as one, so copies of a document do not make its lines
+boilerplate; they are left to the near-duplicate operators. Boilerplate lines are removed, from
+copies too, and a document is rejected as depleted if fewer than `min_left_words` words or less
+than `min_left_share` of its words remain.
 
 Base rules reject documents under 50 words, or with more than half of the words in repeated
 three-word windows.
 
 How it is spread. One Python pass over the texts makes a row of figures and line hashes per
 document, which is written to the shared folder. Everything after is DataFrame work on hashes:
-counts per host, line and surroundings (partial sums first, so a common line is one row per task),
-then a join of the lines with the few that are boilerplate, which skew handling can split.
+distinct documents per host and line (copies are combined first, then partial sums, so a common
+line is one row per task), then a join of the lines with the few that are boilerplate, which skew handling can split.
 
 Edge cases. A missing text has no words and fails the base rules; a missing host is a host of its
-own; an empty table gives no rows; repeated rows count as documents of their own, with the same
-surroundings. Other columns pass through `filtered` untouched and do not reach `assess`.
+own; an empty table gives no rows; repeated rows are judged one by one
+and count as one document of the host. Other columns pass through `filtered` untouched and do not reach `assess`.
 """
 
 from __future__ import annotations
@@ -36,7 +36,6 @@ from tallymark.operators.staging import stage
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_NEXT = np.uint64(0xA0761D6478BD642F)
 _TEXT = np.uint64(0x9E3779B97F4A7C15)
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -47,6 +46,7 @@ class Rules:
     min_words: int = 50
     max_repeat_percent: int = 50
     max_documents: int = 30
+    min_host_share: float = 0.001
     min_left_words: int = 10
     min_left_share: float = 0.3
 
@@ -91,11 +91,10 @@ def _figures(texts: words.Texts) -> dict[str, pa.Array]:
     salt = text.astype(np.uint64) * _TEXT
     _, again = _repeated(words.mix(raw + salt))
 
-    same = text[1:] == text[:-1]
-    before, after = np.zeros_like(hashes), np.zeros_like(hashes)
-    before[1:][same] = hashes[:-1][same]
-    after[:-1][same] = hashes[1:][same]
-    around = words.mix(before * _NEXT + after)
+    closes = np.cumsum(np.bincount(text, minlength=n))
+    filled = np.flatnonzero(np.diff(closes, prepend=0))
+    sequence = np.zeros(n, dtype=np.uint64)
+    sequence[filled] = words.hash_runs(hashes, np.concatenate(([0], closes[filled[:-1]])), closes[filled])
     _, first, inverse = np.unique(words.mix(hashes + salt), return_index=True, return_inverse=True)
     total = np.bincount(inverse, weights=counts, minlength=len(first))
     order = np.argsort(first)
@@ -107,8 +106,8 @@ def _figures(texts: words.Texts) -> dict[str, pa.Array]:
         "n_symbols": pa.array(words.sums_between(_SYMBOL[texts.data], begin, end), pa.int64()),
         "n_dup_lines": pa.array(np.bincount(text[again], minlength=n), pa.int64()),
         "n_repeat_words": pa.array(np.bincount(w.text[cover], minlength=n), pa.int64()),
+        "sequence": pa.array(sequence.view(np.int64), pa.int64()),
         "lines": words.as_lists(hashes[pick].view(np.int64), per_text, pa.int64()),
-        "around": words.as_lists(around[pick].view(np.int64), per_text, pa.int64()),
         "line_words": words.as_lists(total.astype(np.int64), per_text, pa.int64()),
     }
 
@@ -139,30 +138,33 @@ def _measured(docs: DataFrame, text_column: str, host_column: str, kept: Column)
         kept.alias("_kept"),
     )
     schema = T.StructType([f for f in rows.schema.fields if f.name != "_text"])
-    for name in FIGURES:
+    for name in (*FIGURES, "sequence"):
         schema.add(name, T.LongType())
-    for name in ("lines", "around", "line_words"):
+    for name in ("lines", "line_words"):
         schema.add(name, T.ArrayType(T.LongType()))
     return stage(rows.mapInArrow(_measure, schema), "quality")
 
 
-def boilerplate(lines: DataFrame, rules: Rules) -> DataFrame:
-    """Lines above the limits, from a frame of _host, line and around with a row per document."""
-    around = lines.groupBy("_host", "line", "around").agg(F.count("*").alias("n"))
-    found = around.groupBy("_host", "line").agg(F.sum("n").alias("documents"), F.count("*").alias("places"))
-    limit = F.lit(rules.max_documents)
-    return found.where(
-        (F.col("documents") > limit) & (F.col("places") > limit) & (2 * F.col("places") >= F.col("documents"))
-    ).select("_host", "line")
+def boilerplate(lines: DataFrame, rows: DataFrame, rules: Rules) -> DataFrame:
+    """Lines above the limits, from frames of _host, line and sequence, and of _host and sequence of all documents."""
+    distinct = lines.select("_host", "line", "sequence").distinct()
+    found = distinct.groupBy("_host", "line").agg(F.count("*").alias("documents"))
+    sizes = rows.select("_host", "sequence").distinct().groupBy("_host").agg(F.count("*").alias("all_documents"))
+    return (
+        found.where(F.col("documents") > rules.max_documents)
+        .join(sizes, "_host")
+        .where(F.col("documents") > rules.min_host_share * F.col("all_documents"))
+        .select("_host", "line")
+    )
 
 
 def _judged(docs: DataFrame, rules: Rules, text_column: str, host_column: str, kept: Column) -> DataFrame:
     rows = _measured(docs, text_column, host_column, kept)
-    lines = rows.select("_row", "_host", F.explode(F.arrays_zip("lines", "around", "line_words")).alias("l")).select(
-        "_row", "_host", F.col("l.lines").alias("line"), F.col("l.around").alias("around"), "l.line_words"
+    lines = rows.select("_row", "_host", "sequence", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select(
+        "_row", "_host", "sequence", F.col("l.lines").alias("line"), "l.line_words"
     )
     removed = (
-        lines.join(boilerplate(lines, rules), ["_host", "line"])
+        lines.join(boilerplate(lines, rows, rules), ["_host", "line"])
         .groupBy("_row")
         .agg(F.sum("line_words").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
     )

@@ -332,6 +332,22 @@ def test_boilerplate_goes_but_copies_stay(spark):
     assert kept[3] == own[3] and kept[201] == rows[-1][1] and 100 not in kept
 
 
+def test_boilerplate_of_several_lines_and_beside_many_copies(spark):
+    ship(spark)
+    g = random.Random(16)
+    own = [" ".join(f"w{g.randint(0, 10**6)}" for _ in range(60)) for _ in range(40)]
+    rows = [(i, t + "\nfirst of the footer\nsecond of it\nlast line of it", "footer") for i, t in enumerate(own)]
+    rows += [(100 + i, "stands on every page\n" + t, "copies") for i, t in enumerate(own)]
+    rows += [(200 + i, rows[40][1].replace(" ", "  " if i % 2 else " "), "copies") for i in range(90)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in quality.assess(table, quality.Rules(min_words=10)).collect()}
+    assert {found[i].removed_words for i in range(40)} == {11}
+    assert {found[i].removed_words for i in (*range(100, 140), *range(200, 290))} == {4}
+    assert all(r.kept for r in found.values())
+    wide = quality.assess(table, quality.Rules(min_words=10, min_host_share=1.0)).collect()
+    assert not any(r.removed_words for r in wide)  # the limit grows with the host
+
+
 def shingles(text):
     found = words_of(text)
     return {tuple(found[k : k + 5]) for k in range(len(found) - 4)} if len(found) >= 5 else ({tuple(found)} if found else set())
