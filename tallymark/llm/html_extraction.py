@@ -17,12 +17,16 @@ Branches below `min_importance` are removed from each page, if the host shows th
 What is left is cut into blocks at block tags. White space inside a block becomes one space, the
 blocks are joined by an empty line. Character references are decoded, also in cut-off pages.
 
-How it is spread. Pages are parsed where they are read; counts per host, node and value are added
-up by Spark, partially before the shuffle. Only nodes to be removed are listed per host, and pages
+Copies of a page on a host count as one page, so they make neither the article repeat itself nor the
+host look larger.
+
+How it is spread. Pages are parsed where they are read; their nodes are reduced to one row per host
+and digest of the page, and counts per host, node and value are added up by Spark, both partially
+before the shuffle. Only nodes to be removed are listed per host, and pages
 are joined with their host's list; a hot host is split by skew handling, as nothing gathers its pages.
 
 Edge cases. A missing page is empty text; a missing URL is a host of its own; repeated rows count
-as pages of their own; broken markup is read as far as it goes; an empty table gives no rows.
+as one page of the host and give a row each; broken markup is read as far as it goes; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -167,10 +171,13 @@ def main_text(root: Node, removed: set[str]) -> str:
 
 
 def _observe(batches):
-    """Per page and node path: layouts and texts, one row for each path of a page."""
+    """Per host and distinct page: layout and text of each node path."""
     for batch in batches:
-        out: list[tuple] = []
+        out: dict[tuple, list] = {}
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            page = host, xxhash.xxh128_digest(html)
+            if page in out:
+                continue
             seen: dict[str, tuple] = {}
             below: dict[int, bytes] = {}  # digest of the texts under each node
             for node in reversed(list(elements(parse(html)))):  # children before parents
@@ -185,15 +192,27 @@ def _observe(batches):
                     layout, text = seen.setdefault(node.path, (xxhash.xxh64(), xxhash.xxh64()))
                     layout.update(" ".join(c.tag if isinstance(c, Node) else "#" for c in node.children) + ";")
                     text.update(below[id(node)])
-            out += [(host, p, i, (h.intdigest() - (1 << 63))) for p, two in seen.items() for i, h in enumerate(two)]
-        types = (pa.string(), pa.string(), pa.int32(), pa.int64())
-        columns = [pa.array([r[i] for r in out], t) for i, t in enumerate(types)]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "path", "kind", "value"])
+            out[page] = [(p, *(h.intdigest() - (1 << 63) for h in two)) for p, two in seen.items()]
+        nodes = [n for part in out.values() for n in part]
+        offsets = [0]
+        for part in out.values():
+            offsets.append(offsets[-1] + len(part))
+        lists = (
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array([n[i] for n in nodes], t))
+            for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))
+        )
+        keys = pa.array([k[0] for k in out], pa.string()), pa.array([k[1] for k in out], pa.binary())
+        yield pa.RecordBatch.from_arrays([*keys, *lists], ["host", "page", "path", "layout", "text"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
     """Importance of each node of each host's merged tree, from a frame of host and html."""
-    seen = pages.select("host", "html").mapInArrow(_observe, "host string, path string, kind int, value long")
+    schema = "host string, page binary, path array<string>, layout array<long>, text array<long>"
+    nodes = pages.select("host", "html").mapInArrow(_observe, schema).dropDuplicates(["host", "page"])
+    nodes = nodes.select("host", F.explode(F.arrays_zip("path", "layout", "text")).alias("node"))
+    seen = nodes.select(
+        "host", F.col("node.path").alias("path"), F.posexplode(F.array("node.layout", "node.text")).alias("kind", "value")
+    )
     counts = seen.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     entropy = counts.groupBy("host", "path", "kind").agg(
         F.sum("n").alias("pages"), F.sum(F.col("n") * F.ln("n")).alias("nln")

@@ -266,6 +266,20 @@ def test_html_pages(spark):
     assert all(r.n_chars == len(r.text) for r in found.values())
 
 
+def test_copies_of_pages_count_once(spark):
+    ship(spark)
+    page = "<body><div class=stamp>always the same words</div><p>text {}</p>"
+    rows = [(i, "http://equal/", page.format(0)) for i in range(30)]
+    rows += [(1000 + i, "http://mixed/", page.format(0)) for i in range(970)]
+    rows += [(2000 + i, "http://mixed/", page.format(i)) for i in range(1, 30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    found = {r.page_id: r.text for r in html_extraction.extract(pages).collect()}
+    assert len(found) == len(rows)
+    assert {found[i] for i in range(30)} == {"always the same words\n\ntext 0"}  # one page shows nothing
+    assert {found[1000 + i] for i in range(970)} == {"text 0"}
+    assert all(found[2000 + i] == f"text {i}" for i in range(1, 30))
+
+
 def test_toxic_texts(spark):
     ship(spark)
     g = random.Random(3)
