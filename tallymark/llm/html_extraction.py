@@ -156,11 +156,11 @@ def main_text(root: Node, removed: set[str]) -> str:
             end()
         elif isinstance(top, str):
             now.append(top)
+        elif top.tag == "br":
+            now.append(" ")
         elif top.other or top.path in removed:
             if top.tag in BLOCK:
                 end()
-        elif top.tag == "br":
-            now.append(" ")
         else:
             if top.tag in BLOCK:
                 end()

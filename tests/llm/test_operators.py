@@ -280,6 +280,13 @@ def test_copies_of_pages_count_once(spark):
     assert all(found[2000 + i] == f"text {i}" for i in range(1, 30))
 
 
+def test_breaks_part_words_on_large_hosts(spark):
+    ship(spark)
+    rows = [(i, "http://a/", f"<body><p>Jane{i}<br>May 3</p>") for i in range(30)]
+    found = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {i: f"Jane{i} May 3" for i in range(30)}
+
+
 def test_toxic_texts(spark):
     ship(spark)
     g = random.Random(3)
