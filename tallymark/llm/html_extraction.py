@@ -10,7 +10,11 @@ Both are divided by the entropy of as many different values as there are pages,
 0 and 1, and the importance of a node is the larger one. A branch that repeats itself over the pages
 of the host scores near 0. Varying branches that are no content by their very kind (navigation, page
 headers and footers, sidebars, notices, adverts, forms, comments of readers) keep their kind's
-importance of 0, however often their words change; kinds are told by tag, role and class names.
+importance of 0, however often their words change. Kinds are told by tag and by whole class, id and
+role names: all words of a name must be listed, so 'cookie-notice' and 'left-sidebar' count and
+'has-sidebar' and 'entry-header' do not. A branch of a listed kind stays, and is weighed like others,
+if it holds the page's main, or its largest article with a quarter of its text, or most of its paragraph text and a quarter of all its
+text; branches of readers' comments need the former, and what is never shown stays out.
 Branches below `min_importance` are removed from each page, if the host shows them on at least
 `min_pages` pages; with fewer, nothing is known about them and only their kind counts.
 
@@ -62,14 +66,24 @@ OTHER_NAMES = set(
     " comment comments reply replies disqus respond share sharing social related recommended newsletter subscribe"
     " signup login popup modal overlay pagination pager widget search form toolbar complementary contentinfo".split()
 )
-_NAME = re.compile(r"[a-z]+")
+#: Words that say where a branch stands or how it is drawn, allowed beside those.
+PLACE_NAMES = set("site left right top bottom container box bar block list links".split())
+#: Branches of readers' words, which can be longer than the article.
+READER_NAMES = set("comment comments reply replies disqus respond".split())
+_NAME = re.compile(r"[a-z]{2,}")
 
 
 class Node:
-    __slots__ = ("tag", "path", "children", "other")
+    __slots__ = ("tag", "path", "children", "other", "readers")
 
-    def __init__(self, tag: str, path: str, other: bool):
-        self.tag, self.path, self.children, self.other = tag, path, [], other
+    def __init__(self, tag: str, path: str, other: bool, readers: bool = False):
+        self.tag, self.path, self.children, self.other, self.readers = tag, path, [], other, readers
+
+
+def _listed(name: str) -> set[str]:
+    """The words of a class, id or role name that make it a listed kind; none if it says something else."""
+    found = set(_NAME.findall(name))
+    return found & OTHER_NAMES if found <= OTHER_NAMES | PLACE_NAMES else set()
 
 
 class _Tree(HTMLParser):
@@ -92,15 +106,15 @@ class _Tree(HTMLParser):
             self._close("dt", {"dl"})
             self._close("dd", {"dl"})
         fields = {k: (v or "").lower() for k, v in attrs if k in ("class", "id", "role")}
-        names = {w for v in fields.values() for w in _NAME.findall(v)}
+        names = {w for v in fields.values() for name in v.split() for w in _listed(name)}
         inside = any(n.tag in ("article", "main") for n in self.stack)
         other = tag in UNSHOWN or tag in OTHER_KIND
-        other |= bool(names & OTHER_NAMES) and tag not in ("html", "body", "article", "main")
+        other |= bool(names) and tag not in ("html", "body", "article", "main")
         other |= tag == "header" and not inside
         style = fields.get("class", "") or fields.get("role", "")
         label = tag + ("." + "_".join(style.split()) if style else "")
         parent = self.stack[-1]
-        node = Node(tag, f"{parent.path}/{label}" if len(self.stack) <= _DEEPEST else parent.path, other)
+        node = Node(tag, f"{parent.path}/{label}" if len(self.stack) <= _DEEPEST else parent.path, other, bool(names & READER_NAMES))
         parent.children.append(node)
         if tag not in VOID:
             self.stack.append(node)
@@ -129,9 +143,39 @@ def parse(html: str) -> Node:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    _keep_content(tree.root)
     return tree.root
 
 
+def _keep_content(root: Node) -> None:
+    """Take back the kind of branches that hold the page's content."""
+    nodes = list(elements(root))
+    if not any(n.other and n.tag not in UNSHOWN for n in nodes):
+        return
+    sizes: dict[int, tuple[int, int]] = {}  # shown characters under each node, and those in paragraphs
+    best: tuple = (False, 0, None)
+    for node in reversed(nodes):
+        shown = paragraphs = 0
+        for child in () if node.tag in UNSHOWN else node.children:
+            if isinstance(child, str):
+                shown += len("".join(child.split()))
+            else:
+                shown, paragraphs = shown + sizes[id(child)][0], paragraphs + sizes[id(child)][1]
+        sizes[id(node)] = shown, shown if node.tag == "p" else paragraphs
+        if node.tag in ("main", "article") and (node.tag == "main", shown) > best[:2]:
+            best = node.tag == "main", shown, node
+    shown, paragraphs = sizes[id(root)]
+    holders = {id(best[2])} if best[0] or 4 * best[1] >= shown else set()
+    for node in reversed(nodes):
+        if any(id(c) in holders for c in node.children if isinstance(c, Node)):
+            holders.add(id(node))
+    for node in nodes:
+        if node.other and node.tag not in UNSHOWN:
+            mine = sizes[id(node)]
+            most = 2 * mine[1] > paragraphs and 4 * mine[0] >= shown and not node.readers
+            node.other = not (id(node) in holders or most)
+
+
 def elements(node: Node):
     stack = [node]
     while stack:

@@ -266,6 +266,20 @@ def test_html_pages(spark):
     assert all(r.n_chars == len(r.text) for r in found.values())
 
 
+def test_listed_kinds_that_hold_the_content_stay():
+    text = lambda html: html_extraction.main_text(html_extraction.parse(html), set())
+    body = "<p>first long paragraph of it</p><p>second long paragraph of it</p>"
+    for wrapper in ("has-sidebar", "no-sidebar", "content-with-banner", "sidebar"):
+        assert text(f"<div class='{wrapper}'>{body}</div>") == "first long paragraph of it\n\nsecond long paragraph of it"
+    assert text(f"<form id=aspnetForm><nav>menu</nav>{body}</form>").startswith("first long")
+    assert text(f"<form><article>{body}</article></form>").startswith("first long")
+    inside = "<header class='entry-header'><h1>Title</h1></header><section class='related-work'>Work</section>"
+    assert text(f"<article>{inside}{body}</article>").startswith("Title\n\nWork\n\nfirst long")
+    said = "<div class=comments>" + "<article class=comment-body><p>said</p></article>" * 40 + "</div>"
+    rest = "<div class='cookie-notice'><p>notice</p></div><div class='left-sidebar'>side</div><form>find</form>"
+    assert text(f"<article>{body}</article>{said}{rest}") == "first long paragraph of it\n\nsecond long paragraph of it"
+
+
 def test_copies_of_pages_count_once(spark):
     ship(spark)
     page = "<body><div class=stamp>always the same words</div><p>text {}</p>"
