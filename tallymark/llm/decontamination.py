@@ -4,7 +4,8 @@ A mask is a fixed pattern of token positions, some of which it ignores. The toke
 hashed at every position of the benchmark items and of the documents; equal hashes put an item
 beside a document at one offset, whatever stands at the ignored positions. Around each such hit
 the tokens of both are compared along the offset: the stretch with the best sum of +1 per equal and
--2 per other token is the overlap, so scattered substitutions are tolerated. An item leaks into a
+-2 per other token is the overlap, so scattered substitutions are tolerated. The masks are light enough
+that substitutions scattered over such an overlap leave a hit. An item leaks into a
 document if the overlap has at least `min_share` of its tokens, or `enough_tokens` of them.
 
 How it is spread. One pass over the whole texts, no shuffle. The hashes of the items are broadcast;
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from tallymark.llm import frames, packed, words
 
 #: Token positions that count (1) and that are ignored (0).
-MASKS = ("11111111", "110110110110", "101101101101", "111001011001011")
+MASKS = ("1111", "111011", "11011011")
 MIN_SHARE = 0.7
 ENOUGH_TOKENS = 40
 SLICE_BYTES = 4 << 20

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from tallymark.llm import (
     sharding,
     toxicity,
     warc,
+    words,
 )
 from tallymark.llm.shipping import ship
 
@@ -148,6 +150,20 @@ def test_leaks_with_substitutions(spark, docs):
         assert {r.doc_id for r in decontamination.clean(table, bank, slice_bytes=slice_bytes).collect()} == {2, 3, 5, 6}
 
 
+def test_every_leak_with_substitutions_has_a_hit():
+    g = random.Random(2)
+    for n in (15, 16, 17, 18, 19, 20, 33, 59):
+        item = [f"w{k}" for k in range(n)]
+        texts = [[w if k % p != phase else "other" for k, w in enumerate(item)] for p in (4, 5) for phase in range(p)]
+        texts += [[w if g.random() > q else "other" for w in item] for q in (0.1, 0.2) for _ in range(300)]
+        index = decontamination.Index.build([" ".join(item)])
+        (part,) = words.slices(pa.array([" ".join(t) for t in texts]))
+        found = {row[0] for row in decontamination.leaks(index, part, 0.7, 40)}
+        split = words.words(part, lower=True)
+        expected = {i for i in range(len(texts)) if index.overlap(split, i, 0, 0)[0] >= min(0.7 * n, 40)}
+        assert found == expected and len(found) > 50
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
