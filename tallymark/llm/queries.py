@@ -16,8 +16,12 @@ from tallymark.llm import (
     jaccard_join,
     line_dedup,
     lm_scoring,
+    maxscore,
+    merkle,
+    oracle,
     quality,
     sharding,
+    spelling,
     toxicity,
     warc,
 )
@@ -25,7 +29,7 @@ from tallymark.llm.shipping import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
 
 
 def _registered(query):
@@ -96,3 +100,18 @@ def op9_warc(spark, sf_dir):
 @_registered
 def op10_kd_sharding(spark, sf_dir):
     return sharding.shard_texts(_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_of_documents(_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op13_maxscore_search(spark, sf_dir):
+    return maxscore.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
