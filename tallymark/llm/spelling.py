@@ -67,8 +67,11 @@ def word_counts(docs: DataFrame, id_column: str, text_column: str, min_length: i
     return counted.where(F.col("n") >= min_count)
 
 
-def prefixes(texts: list[str], side: int) -> pa.RecordBatch:
-    """Rows (side, word, position, node, next) of the words' beginnings; a whole word has no next."""
+def prefixes(texts: list[str], numbers: np.ndarray, side: int) -> pa.RecordBatch:
+    """Rows (side, number, position, node, next) of the words' beginnings; a whole word has no next.
+
+    Rows hold the word's number instead of its letters, so a long word makes many rows but no long ones.
+    """
     points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
     power, inverse = words._power_tables(len(points) + 1)
     sums = np.zeros(len(points) + 1, dtype=np.uint64)
@@ -85,12 +88,12 @@ def prefixes(texts: list[str], side: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(len(word), side, dtype=np.int32)),
-            pa.array(texts, pa.string()).take(pa.array(word)),
+            pa.array(numbers[word]),
             pa.array(position.astype(np.int32)),
             pa.array(node),
             pa.array(following, mask=position == lengths[word]),
         ],
-        ["side", "word", "position", "node", "next"],
+        ["side", "number", "position", "node", "next"],
     )
 
 
@@ -98,19 +101,22 @@ def _prefixes(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
             texts = batch.column("word").slice(at, 2048).to_pylist()
-            yield prefixes(texts, 0)
-            yield prefixes([t[::-1] for t in texts], 1)
+            numbers = batch.column("number").slice(at, 2048).to_numpy()
+            yield prefixes(texts, numbers, 0)
+            yield prefixes([t[::-1] for t in texts], numbers, 1)
 
 
 def trie(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The words' own nodes (side, word, nodes) and the edges of the tries."""
-    beginnings = counted.select("word").mapInArrow(_prefixes, "side int, word string, position int, node long, next int")
+    """The words' own nodes (side, word, places) and the edges of the tries; counted has a number per word."""
+    beginnings = counted.select("number", "word").mapInArrow(_prefixes, "side int, number long, position int, node long, next int")
     kinds = beginnings.groupBy("node").agg(
         F.min("next").alias("least"), F.max("next").alias("most"), F.max(F.col("next").isNull()).alias("ends")
     )
     kept = kinds.where("ends or least <> most").select("node", "ends")
-    on_way = beginnings.join(kept, "node").select("side", "word", F.struct("position", "node", "ends").alias("place"))
-    paths = stage(on_way.groupBy("side", "word").agg(F.sort_array(F.collect_list("place")).alias("places")), "trie")
+    on_way = beginnings.join(kept, "node").select("side", "number", F.struct("position", "node", "ends").alias("place"))
+    places = on_way.groupBy("side", "number").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    spelled = F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word"))
+    paths = stage(places.join(counted, "number").select("side", spelled.alias("word"), "places"), "trie")
     steps = paths.select("side", "word", F.expr("explode(arrays_zip(slice(places, 1, size(places) - 1), slice(places, 2, size(places) - 1)))").alias("s"))
     steps = steps.select(
         F.col("s.0.node").alias("node"),
@@ -211,7 +217,8 @@ def variants(
     """One row per word: word, form, root, n, n_near, form_n."""
     if min_length < MIN_LENGTH:
         raise ValueError(f"words of fewer than {MIN_LENGTH} code points are not supported")
-    counted = stage(word_counts(docs, id_column, text_column, min_length, min_count, damage), "words")
+    counted = word_counts(docs, id_column, text_column, min_length, min_count, damage)
+    counted = stage(counted.withColumn("number", F.monotonically_increasing_id()), "words")
     most = counted.agg(F.max("n")).first()[0] or 0
     pairs = near_words(counted).join(counted.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = pairs.groupBy("word").agg(
