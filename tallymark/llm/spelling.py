@@ -2,11 +2,12 @@
 
 Words are the runs of letters of whole texts, and every word looks for the words that differ from it
 by one code point. The trie of all words is a table of edges (node, label, child), and a search is a
-state (word, position, node, edits). All states of a level are joined with the edges of their nodes:
-an exact step follows the edge that continues the word; a state without edits may also replace the next
-code point by that of another edge, insert that of another edge, or leave the next one out. A state with
-its edit spent that ends on the end of a word makes that word a neighbour. The frontier is written level
-by level and the search ends when it is empty.
+state (word, position, node, edits). All states of a level are joined with the edge table on their node
+and the letter they need: an exact step follows the edge that continues the word; a state without
+edits may also replace the next code point by that of another edge, insert that of another edge (both joined
+on the letter that must follow it), or leave the next one out. A state with its edit spent that ends on
+the end of a word makes that word a neighbour. The frontier is written level by level and the search ends
+when it is empty.
 
 Three things keep the frontier small.
 - One edit leaves half of a word untouched. A trie of words is entered at the node of a word's first half
@@ -21,8 +22,8 @@ Nodes are 64-bit hashes of their prefix and depth. Two prefixes with one hash wo
 every neighbour is verified at the end, so a collision neither adds nor loses any.
 
 How it is spread. Runs are counted with partial sums before the shuffle. Prefixes are counted as rows
-(node, least and greatest next letter), which combine before the shuffle too. States are dealt by node, with
-at most one row per letter for a state and node; a frequent node's states are split by skew handling. No
+(node, least and greatest next letter), which combine before the shuffle too. States are dealt by node
+and letter, with at most one edge per letter for each; a frequent node's states are split by skew handling. No
 task holds a trie, and the driver only sees how many states are left.
 
 Edge cases. A missing or empty text has no words; a missing id counts as empty text in the hash that
@@ -35,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm import frames, words
@@ -117,63 +118,62 @@ def trie(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     places = on_way.groupBy("side", "number").agg(F.sort_array(F.collect_list("place")).alias("places"))
     spelled = F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word"))
     paths = stage(places.join(counted, "number").select("side", spelled.alias("word"), "places"), "trie")
-    steps = paths.select("side", "word", F.expr("explode(arrays_zip(slice(places, 1, size(places) - 1), slice(places, 2, size(places) - 1)))").alias("s"))
-    steps = steps.select(
+    steps = paths.select("word", F.expr("explode(arrays_zip(slice(places, 1, size(places) - 1), slice(places, 2, size(places) - 1)))").alias("s"))
+    edges = steps.select(
         F.col("s.0.node").alias("node"),
         F.expr("substring(word, s.`0`.position + 1, s.`1`.position - s.`0`.position)").alias("label"),
         F.col("s.1.node").alias("child"),
-        F.col("s.0.ends").alias("here_ends"),
         F.col("s.1.ends").alias("child_ends"),
     )
-    return paths, stage(steps.distinct(), "trie")
-
-
-def _moves() -> Column:
-    """The states and neighbours that a state makes along one edge, as an array of structs."""
-    w, p, label = F.col("word"), F.col("position"), F.col("label")
-    size, rest = F.length("label"), F.length("word") - F.col("position")
-    tail = label.substr(F.lit(2), size)
-
-    def ahead(skip: int, n: Column) -> Column:
-        return w.substr(p + 1 + skip, n)
-
-    def move(when: Column, position: Column, edits: int, node: str = "child", ends: Column | None = None) -> Column:
-        over = F.length("word") == position
-        found = (F.col("child_ends") if ends is None else ends) & over & F.lit(edits == 1)
-        made = F.struct(position.cast("int").alias("position"), F.col(node).alias("node"), F.lit(edits).alias("edits"), found.alias("found"))
-        return F.when(when, made)
-
-    unspent = F.col("edits") == 0
-    own = (size <= rest) & (ahead(0, size) == label)
-    other = unspent & ((rest == 0) | (ahead(0, F.lit(1)) != label.substr(F.lit(1), F.lit(1))))
-    return F.filter(
-        F.array(
-            move(unspent & own, p + size, 0),
-            move(~unspent & own, p + size, 1),
-            move(other & (size <= rest) & (ahead(1, size - 1) == tail), p + size, 1),  # replaced
-            move(other & (size <= rest + 1) & (ahead(0, size - 1) == tail), p + size - 1, 1),  # inserted
-            move(other & (size < rest) & (ahead(1, size) == label), p + 1 + size, 1),  # left out
-            move(unspent & own & (rest == 1) & F.col("here_ends"), p + 1, 1, "node", F.lit(True)),  # its end left out
-        ),
-        lambda m: m.isNotNull(),
+    edges = stage(edges.distinct().withColumn("first", F.col("label").substr(1, 1)), "trie")
+    longer = edges.where(F.length("label") > 1).withColumn("key", F.col("label").substr(2, 1))
+    shorter = edges.where(F.length("label") == 1)
+    follow = edges.select(F.col("node").alias("child"), F.col("first").alias("key")).distinct()
+    ahead = longer.unionByName(shorter.join(follow, "child")).unionByName(shorter.where("child_ends").withColumn("key", F.lit("")))
+    names = ("kind", "node", "key", "first", "label", "child", "child_ends")
+    exact = edges.select(F.lit(0).alias("kind"), "node", F.col("first").alias("key"), *names[3:])
+    arcs = stage(exact.unionByName(ahead.select(F.lit(1).alias("kind"), *names[1:])), "trie")
+    discard(edges)
+    return paths, arcs
+
+
+#: What a state asks for: the letter it goes on with, at `rest`, after an exact step (kind 0) or after any
+#: other letter than `barred` (kind 1). A state at its end goes on with no letter.
+_REQUESTS = """explode(if(edits = 0, array(
+  if(position < length(word), named_struct('kind', 0, 'rest', position, 'edits', 0, 'barred', ''), null),
+  if(position + 1 < length(word) and here <> next, named_struct('kind', 0, 'rest', position + 1, 'edits', 1, 'barred', ''), null),
+  if(position < length(word), named_struct('kind', 1, 'rest', position + 1, 'edits', 1, 'barred', here), null),
+  named_struct('kind', 1, 'rest', position, 'edits', 1, 'barred', here)
+), array(if(position < length(word), named_struct('kind', 0, 'rest', position, 'edits', 1, 'barred', ''), null))))"""
+
+
+def _level(states: DataFrame, arcs: DataFrame) -> DataFrame:
+    """The states that one step makes of others; `found` marks the ends of words, reached with one edit."""
+    letters = states.withColumn("here", F.expr("substring(word, position + 1, 1)")).withColumn("next", F.expr("substring(word, position + 2, 1)"))
+    asked = letters.select("word", "side", "node", F.expr(_REQUESTS).alias("q")).where("q is not null").select("word", "side", "node", "q.*")
+    asked = asked.withColumn("key", F.expr("substring(word, rest + 1, 1)"))
+    stepped = asked.join(arcs, ["kind", "node", "key"]).where("kind = 0 or first <> barred")
+    stepped = stepped.where("substring(label, 1 + kind) = substring(word, rest + 1, length(label) - kind)")
+    made = stepped.select(
+        "word", "side", F.expr("rest + length(label) - kind").alias("position"), F.col("child").alias("node"), "edits", F.col("child_ends").alias("ends")
     )
+    over = F.col("position") == F.length("word")
+    made = made.withColumn("found", over & F.col("ends") & (F.col("edits") == 1))
+    shortened = states.where("edits = 0 and position + 1 = length(word) and ends")  # its last letter left out
+    made = made.where("found or edits = 0 or position < length(word)")
+    return made.unionByName(shortened.withColumn("found", F.lit(True)).withColumn("edits", F.lit(1)))
 
 
 def near_words(counted: DataFrame) -> DataFrame:
     """word, near: every pair of counted words one edit apart, in both directions."""
-    paths, edges = trie(counted)
+    paths, arcs = trie(counted)
     half = F.when(F.col("side") == 0, F.floor(F.length("word") / 2)).otherwise(F.ceil(F.length("word") / 2))
     entry = F.element_at(F.filter("places", lambda x: x["position"] >= half), 1)
-    states = paths.select("word", "side", entry.alias("e")).select(
-        "word", "side", F.col("e.position").alias("position"), F.col("e.node").alias("node"), F.lit(0).alias("edits")
-    )
+    states = paths.select("word", "side", entry.alias("e")).select("word", "side", "e.position", "e.node", F.lit(0).alias("edits"), "e.ends")
     levels: list[DataFrame] = []
     while True:
-        made = states.join(edges, "node").select("word", "side", "node", "position", "edits", "label", "child", "here_ends", "child_ends")
-        made = made.select("word", "side", F.explode(_moves()).alias("m")).select("word", "side", "m.*")
-        level = stage(made.where("found or edits = 0 or position < length(word)"), "frontier")
-        levels.append(level)
-        states = level.where("not found").select("word", "side", "position", "node", "edits")
+        levels.append(stage(_level(states, arcs), "frontier"))
+        states = levels[-1].where("not found").drop("found")
         if not states.head(1):
             break
     ends = paths.select(F.col("word").alias("near"), F.element_at("places", -1)["node"].alias("node"))
@@ -184,7 +184,7 @@ def near_words(counted: DataFrame) -> DataFrame:
     forward = F.col("side") == 0
     pairs = pairs.select(*(F.when(forward, F.col(c)).otherwise(F.reverse(c)).alias(c) for c in ("word", "near")))
     pairs = stage(pairs.where(F.levenshtein("word", "near", 1) == 1).distinct(), "near")
-    discard(paths, edges, *levels)
+    discard(paths, arcs, *levels)
     return pairs
 
 
