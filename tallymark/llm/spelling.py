@@ -2,14 +2,13 @@
 
 Words are the runs of letters of whole texts, and every word looks for the words that differ from it
 by one code point. The trie of all words is a table of edges (node, label, child), and a search is a
-state (word, position, node, edits). All states of a level are joined with the edge table on their node
-and the letter they need: an exact step follows the edge that continues the word; a state without
-edits may also replace the next code point by that of another edge, insert that of another edge (both joined
-on the letter that must follow it), or leave the next one out. A state with its edit spent that ends on
-the end of a word makes that word a neighbour. The frontier is written level by level and the search ends
-when it is empty.
-
-Three things keep the frontier small.
+state (word, position, node, edits). All states of a level are joined with the edges of their nodes:
+an exact step follows the edge that continues the word; a state without edits may also replace the next
+code point by that of another edge, insert that of another edge, or leave the next one out. A state with
+its edit spent that ends on the end of a word makes that word a neighbour. The frontier is written level
+by level and the search ends when it is empty.
+
+Four things keep the frontier small.
 - One edit leaves half of a word untouched. A trie of words is entered at the node of a word's first half
   and finds edits behind it; a trie of reversed words is entered at the second half and finds the others.
   So no search begins at the root, where every letter would branch.
@@ -17,13 +16,15 @@ Three things keep the frontier small.
   edit (one of two equal letters left out) the place where they part is one. Nodes that neither branch nor
   end a word are joined into one edge with a longer label; levels count branches, not letters.
 - After the edit a state must continue exactly, and few do.
+- A node has a mask with a bit for what follows it in each word, chosen by six bits of its hash. A state with its
+  edit spent is made only if the bit of its own rest is set; a missing bit proves that no word ends so.
 
 Nodes are 64-bit hashes of their prefix and depth. Two prefixes with one hash would only add edges;
 every neighbour is verified at the end, so a collision neither adds nor loses any.
 
 How it is spread. Runs are counted with partial sums before the shuffle. Prefixes are counted as rows
 (node, least and greatest next letter), which combine before the shuffle too. States are dealt by node
-and letter, with at most one edge per letter for each; a frequent node's states are split by skew handling. No
+and meet at most one edge per letter; a frequent node's states are split by skew handling. No
 task holds a trie, and the driver only sees how many states are left.
 
 Edge cases. A missing or empty text has no words; a missing id counts as empty text in the hash that
@@ -68,111 +69,151 @@ def word_counts(docs: DataFrame, id_column: str, text_column: str, min_length: i
     return counted.where(F.col("n") >= min_count)
 
 
+class _Points:
+    """Code points of some words one after the other, with the sums that hash any part of a word."""
+
+    def __init__(self, texts: list[str]):
+        self.points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
+        power, self.inverse = words._power_tables(len(self.points) + 1)
+        self.sums = np.zeros(len(self.points) + 1, dtype=np.uint64)
+        np.cumsum(words.mix((self.points.astype(np.uint64) + np.uint64(1)) * _SEED) * power[: len(self.points)], out=self.sums[1:])
+        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[begin]) * self.inverse[begin]
+
+    def rows(self, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """Word and position of each place from a position to the end of its word."""
+        rows = self.lengths - first + 1
+        word = np.repeat(np.arange(len(rows)), rows)
+        return word, np.arange(len(word)) - np.repeat(np.cumsum(rows) - rows, rows) + first
+
+    def marks(self, word: np.ndarray, position: np.ndarray) -> np.ndarray:
+        """Six bits of the hash of what follows a place."""
+        begin = self.starts[word] + position
+        return (words.mix(self.hashes(begin, (self.starts + self.lengths)[word]) + _SEED) >> np.uint64(58)).astype(np.uint8)
+
+
 def prefixes(texts: list[str], numbers: np.ndarray, side: int) -> pa.RecordBatch:
-    """Rows (side, number, position, node, next) of the words' beginnings; a whole word has no next.
+    """Rows (side, number, position, node, next, mark) of the words' beginnings; a whole word has no next.
 
     Rows hold the word's number instead of its letters, so a long word makes many rows but no long ones.
     """
-    points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
-    power, inverse = words._power_tables(len(points) + 1)
-    sums = np.zeros(len(points) + 1, dtype=np.uint64)
-    np.cumsum(words.mix((points.astype(np.uint64) + np.uint64(1)) * _SEED) * power[: len(points)], out=sums[1:])
-    lengths = np.array([len(t) for t in texts], dtype=np.int64)
-    starts = np.cumsum(lengths) - lengths
-    rows = lengths - _SHORTEST + 1
-    word = np.repeat(np.arange(len(texts)), rows)
-    position = np.arange(len(word)) - np.repeat(np.cumsum(rows) - rows, rows) + _SHORTEST
-    first = starts[word]
-    node = (sums[first + position] - sums[first]) * inverse[first]
-    node = words.mix(node + (position.astype(np.uint64) * np.uint64(2) + np.uint64(side)) * _SEED).view(np.int64)
-    following = np.append(points, np.uint32(0))[first + position].astype(np.int32)
+    p = _Points(texts)
+    word, position = p.rows(_SHORTEST)
+    first = p.starts[word]
+    node = p.hashes(first, first + position) + (position.astype(np.uint64) * np.uint64(2) + np.uint64(side)) * _SEED
+    following = np.append(p.points, np.uint32(0))[first + position].astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(len(word), side, dtype=np.int32)),
             pa.array(numbers[word]),
             pa.array(position.astype(np.int32)),
-            pa.array(node),
-            pa.array(following, mask=position == lengths[word]),
+            pa.array(words.mix(node).view(np.int64)),
+            pa.array(following, mask=position == p.lengths[word]),
+            pa.array(p.marks(word, position).astype(np.int32)),
         ],
-        ["side", "number", "position", "node", "next"],
+        ["side", "number", "position", "node", "next", "mark"],
     )
 
 
-def _prefixes(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2048):
-            texts = batch.column("word").slice(at, 2048).to_pylist()
-            numbers = batch.column("number").slice(at, 2048).to_numpy()
-            yield prefixes(texts, numbers, 0)
-            yield prefixes([t[::-1] for t in texts], numbers, 1)
+def _spelled(texts: list[str], numbers: np.ndarray, side: int) -> pa.RecordBatch:
+    """Rows (side, number, word, marks): one character for what follows each place of the word."""
+    p = _Points(texts)
+    marks = (p.marks(*p.rows(0)) + 48).tobytes().decode("ascii")
+    cuts = np.cumsum(p.lengths + 1)
+    marks = [marks[a:b] for a, b in zip(cuts - p.lengths - 1, cuts)]
+    columns = [pa.array(np.full(len(texts), side, dtype=np.int32)), pa.array(numbers), pa.array(texts, pa.string()), pa.array(marks, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, ["side", "number", "word", "marks"])
+
+
+def _both_sides(make):
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                texts = batch.column("word").slice(at, 2048).to_pylist()
+                numbers = batch.column("number").slice(at, 2048).to_numpy()
+                yield make(texts, numbers, 0)
+                yield make([t[::-1] for t in texts], numbers, 1)
+
+    return run
 
 
 def trie(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The words' own nodes (side, word, places) and the edges of the tries; counted has a number per word."""
-    beginnings = counted.select("number", "word").mapInArrow(_prefixes, "side int, number long, position int, node long, next int")
+    """The words' own nodes (side, word, marks, places) and the edges of the tries; counted has a number per word."""
+    numbered = counted.select("number", "word")
+    beginnings = numbered.mapInArrow(_both_sides(prefixes), "side int, number long, position int, node long, next int, mark int")
     kinds = beginnings.groupBy("node").agg(
-        F.min("next").alias("least"), F.max("next").alias("most"), F.max(F.col("next").isNull()).alias("ends")
+        F.min("next").alias("least"),
+        F.max("next").alias("most"),
+        F.max(F.col("next").isNull()).alias("ends"),
+        F.expr("bit_or(shiftleft(1L, mark))").alias("mask"),
     )
-    kept = kinds.where("ends or least <> most").select("node", "ends")
-    on_way = beginnings.join(kept, "node").select("side", "number", F.struct("position", "node", "ends").alias("place"))
+    kept = kinds.where("ends or least <> most").select("node", "ends", "mask")
+    on_way = beginnings.join(kept, "node").select("side", "number", F.struct("position", "node", "ends", "mask").alias("place"))
     places = on_way.groupBy("side", "number").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    spelled = F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word"))
-    paths = stage(places.join(counted, "number").select("side", spelled.alias("word"), "places"), "trie")
+    spelled = numbered.mapInArrow(_both_sides(_spelled), "side int, number long, word string, marks string")
+    paths = stage(places.join(spelled, ["side", "number"]).select("side", "word", "marks", "places"), "trie")
     steps = paths.select("word", F.expr("explode(arrays_zip(slice(places, 1, size(places) - 1), slice(places, 2, size(places) - 1)))").alias("s"))
     edges = steps.select(
         F.col("s.0.node").alias("node"),
         F.expr("substring(word, s.`0`.position + 1, s.`1`.position - s.`0`.position)").alias("label"),
         F.col("s.1.node").alias("child"),
         F.col("s.1.ends").alias("child_ends"),
+        F.col("s.1.mask").alias("mask"),
     )
-    edges = stage(edges.distinct().withColumn("first", F.col("label").substr(1, 1)), "trie")
-    longer = edges.where(F.length("label") > 1).withColumn("key", F.col("label").substr(2, 1))
-    shorter = edges.where(F.length("label") == 1)
-    follow = edges.select(F.col("node").alias("child"), F.col("first").alias("key")).distinct()
-    ahead = longer.unionByName(shorter.join(follow, "child")).unionByName(shorter.where("child_ends").withColumn("key", F.lit("")))
-    names = ("kind", "node", "key", "first", "label", "child", "child_ends")
-    exact = edges.select(F.lit(0).alias("kind"), "node", F.col("first").alias("key"), *names[3:])
-    arcs = stage(exact.unionByName(ahead.select(F.lit(1).alias("kind"), *names[1:])), "trie")
-    discard(edges)
-    return paths, arcs
-
-
-#: What a state asks for: the letter it goes on with, at `rest`, after an exact step (kind 0) or after any
-#: other letter than `barred` (kind 1). A state at its end goes on with no letter.
-_REQUESTS = """explode(if(edits = 0, array(
-  if(position < length(word), named_struct('kind', 0, 'rest', position, 'edits', 0, 'barred', ''), null),
-  if(position + 1 < length(word) and here <> next, named_struct('kind', 0, 'rest', position + 1, 'edits', 1, 'barred', ''), null),
-  if(position < length(word), named_struct('kind', 1, 'rest', position + 1, 'edits', 1, 'barred', here), null),
-  named_struct('kind', 1, 'rest', position, 'edits', 1, 'barred', here)
-), array(if(position < length(word), named_struct('kind', 0, 'rest', position, 'edits', 1, 'barred', ''), null))))"""
-
-
-def _level(states: DataFrame, arcs: DataFrame) -> DataFrame:
+    return paths, stage(edges.distinct(), "trie")
+
+
+def _level(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states that one step makes of others; `found` marks the ends of words, reached with one edit."""
-    letters = states.withColumn("here", F.expr("substring(word, position + 1, 1)")).withColumn("next", F.expr("substring(word, position + 2, 1)"))
-    asked = letters.select("word", "side", "node", F.expr(_REQUESTS).alias("q")).where("q is not null").select("word", "side", "node", "q.*")
-    asked = asked.withColumn("key", F.expr("substring(word, rest + 1, 1)"))
-    stepped = asked.join(arcs, ["kind", "node", "key"]).where("kind = 0 or first <> barred")
-    stepped = stepped.where("substring(label, 1 + kind) = substring(word, rest + 1, length(label) - kind)")
-    made = stepped.select(
-        "word", "side", F.expr("rest + length(label) - kind").alias("position"), F.col("child").alias("node"), "edits", F.col("child_ends").alias("ends")
-    )
-    over = F.col("position") == F.length("word")
-    made = made.withColumn("found", over & F.col("ends") & (F.col("edits") == 1))
-    shortened = states.where("edits = 0 and position + 1 = length(word) and ends")  # its last letter left out
+    own = "here = left(label, 1) and substring(word, position + 1, length(label)) = label"
+    other = "edits = 0 and here <> left(label, 1)"
+    tail, size = "substring(label, 2)", "length(label)"
+
+    def fits(position: str) -> str:
+        """Whether some word below the edge goes on as this one does there; few others pass."""
+        return f"shiftright(mask, ascii(substring(marks, {position} + 1, 1)) - 48) & 1 = 1"
+
+    moves = {
+        "own": (f"{own} and (edits = 0 or {fits(f'position + {size}')})", f"position + {size}", "edits"),
+        "replaced": (
+            f"{other} and here <> '' and substring(word, position + 2, {size} - 1) = {tail} and {fits(f'position + {size}')}",
+            f"position + {size}",
+            "1",
+        ),
+        "inserted": (
+            f"{other} and substring(word, position + 1, {size} - 1) = {tail} and {fits(f'position + {size} - 1')}",
+            f"position + {size} - 1",
+            "1",
+        ),
+        "left_out": (
+            f"{other} and here <> '' and substring(word, position + 2, {size}) = label and {fits(f'position + {size} + 1')}",
+            f"position + {size} + 1",
+            "1",
+        ),
+    }
+    met = states.withColumn("here", F.expr("substring(word, position + 1, 1)")).join(edges, "node")
+    met = met.where(" or ".join(f"({when})" for when, _, _ in moves.values()))
+    made = ", ".join(f"if({when}, named_struct('position', {position}, 'edits', {edits}), null)" for when, position, edits in moves.values())
+    made = met.select("side", "word", "marks", F.col("child").alias("node"), F.col("child_ends").alias("ends"), F.expr(f"explode(array({made}))").alias("m"))
+    made = made.where("m is not null").select("side", "word", "marks", "node", "ends", "m.position", "m.edits")
+    made = made.withColumn("found", F.expr("edits = 1 and ends and position = length(word)"))
     made = made.where("found or edits = 0 or position < length(word)")
+    shortened = states.where("edits = 0 and position + 1 = length(word) and ends")  # its last letter left out
     return made.unionByName(shortened.withColumn("found", F.lit(True)).withColumn("edits", F.lit(1)))
 
 
 def near_words(counted: DataFrame) -> DataFrame:
     """word, near: every pair of counted words one edit apart, in both directions."""
-    paths, arcs = trie(counted)
+    paths, edges = trie(counted)
     half = F.when(F.col("side") == 0, F.floor(F.length("word") / 2)).otherwise(F.ceil(F.length("word") / 2))
     entry = F.element_at(F.filter("places", lambda x: x["position"] >= half), 1)
-    states = paths.select("word", "side", entry.alias("e")).select("word", "side", "e.position", "e.node", F.lit(0).alias("edits"), "e.ends")
+    states = paths.select("side", "word", "marks", entry.alias("e"), F.lit(0).alias("edits")).select("side", "word", "marks", "e.*", "edits").drop("mask")
     levels: list[DataFrame] = []
     while True:
-        levels.append(stage(_level(states, arcs), "frontier"))
+        levels.append(stage(_level(states, edges), "frontier"))
         states = levels[-1].where("not found").drop("found")
         if not states.head(1):
             break
@@ -184,7 +225,7 @@ def near_words(counted: DataFrame) -> DataFrame:
     forward = F.col("side") == 0
     pairs = pairs.select(*(F.when(forward, F.col(c)).otherwise(F.reverse(c)).alias(c) for c in ("word", "near")))
     pairs = stage(pairs.where(F.levenshtein("word", "near", 1) == 1).distinct(), "near")
-    discard(paths, arcs, *levels)
+    discard(paths, edges, *levels)
     return pairs
 
 
