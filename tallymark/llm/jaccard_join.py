@@ -11,14 +11,19 @@ A document is the set of its distinct five-word shingles. Documents with equal s
    Points are packed into leaves along the coordinates that spread most, and a leaf keeps its
    maxima. The sum of coordinate minima bounds the overlap of two points, and of two leaves by their
    maxima. Only pairs whose bound reaches the overlap that their sizes demand are verified.
-3. Only connections are asked for, so the tree is searched twice. The first search takes the best
-   bound of each point under each root, at most one pair per point. Their verified links make
-   components. The second takes every pair that the bound admits between different components.
-   Together they connect what all pairs would connect, without listing a group of copies pair by pair.
+3. Only connections are asked for, so the tree is searched twice. The first search need not be complete:
+   it files a node under three of its roots at most (the rarest, the most frequent, the one of least hash, on
+   which copies agree) and takes the best bound of each point under each, so at most three pairs a node. Their
+   verified links make components. The second takes every pair that the bound admits between different
+   components, under all roots. Together they connect what all pairs would connect, without listing a
+   group of copies pair by pair.
+4. Roots are in one order for all nodes, rarest first. If a root is the first that two nodes share,
+   nothing before it adds to their overlap, so what comes from it on in either list bounds the overlap too. A pair is
+   taken only where this bound holds; at its first shared root it does for every pair that reaches the threshold.
 
 How it is spread. Numbers of buckets and parts grow with the input. A root with more points than
 `cell_points` is cut into cells, and pairs of cells are units of their own, so no task holds a
-whole root. Hot nodes in joins are left to skew handling, which can split them.
+whole root; buckets of units are sized by the rows that the cells make. Hot nodes in joins are left to skew handling, which can split them.
 
 Edge cases. A text of fewer than five words is one shingle, its whole word sequence; a text without
 words (or missing) has none and is linked with nothing. Repeated rows are equal nodes. A missing id
@@ -187,7 +192,7 @@ def _shared(parts: int, id_type: pa.DataType):
     return run
 
 
-_POINTS = "node long, size long, shared binary, point binary, roots array<long>"
+_POINTS = "node long, size long, shared binary, point binary, roots array<long>, before long, chosen array<long>"
 
 
 def _points(percent: int):
@@ -207,18 +212,22 @@ def _points(percent: int):
             own = keys[a:b]
             prefix = n - -(-percent * n // 100) + 1 - (n - shared)
             point = np.bincount((words.mix(own) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
-            out.append((int(nodes[a].astype(np.int64)), n, packed.pack_sorted(np.sort(own)), point.tobytes(), own[:prefix].view(np.int64).tolist()))
-        types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-        names = ["node", "size", "shared", "point", "roots"]
+            roots = own[:prefix].view(np.int64)
+            chosen = sorted({int(roots[0]), int(roots[-1]), int(roots[words.mix(own[:prefix]).argmin()])})
+            out.append((int(nodes[a].astype(np.int64)), n, packed.pack_sorted(np.sort(own)), point.tobytes(), roots.tolist(), n - shared, chosen))
+        long_list = pa.list_(pa.int64())
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), long_list, pa.int64(), long_list)
+        names = ["node", "size", "shared", "point", "roots", "before", "chosen"]
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 
     return run
 
 
-def tree_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
-    """Pairs of leaves, then of points, whose bound reaches the overlap that their sizes demand.
+def tree_pairs(points: np.ndarray, sizes: np.ndarray, rest: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
+    """Pairs of leaves, then of points, whose bounds reach the overlap that their sizes demand.
 
-    left and right are the rows of the points on either side; yields arrays of (row, row, bound).
+    rest is the number of a node's shingles from the root on; left and right are the rows of the points on
+    either side. Yields arrays of (row, row, bound).
     """
 
     def pack(rows):
@@ -244,6 +253,7 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: n
             other = two[j]
             bounds = np.minimum(points[rows][:, None, :], points[other][None, :, :]).sum(2)
             total = sizes[rows][:, None] + sizes[other][None, :]
+            bounds = np.minimum(bounds, np.minimum(rest[rows][:, None], rest[other][None, :]))
             good = bounds * (100 + percent) >= percent * total
             if left is right and j == k:
                 good = np.triu(good, 1)
@@ -260,6 +270,7 @@ def _search(percent: int, nearest: bool):
         order = np.lexsort((units, roots))
         nodes, sizes = table.column("node").to_numpy()[order], table.column("size").to_numpy()[order]
         sides, labels = table.column("side").to_numpy()[order], table.column("label").to_numpy()[order]
+        rest = table.column("rest").to_numpy()[order]
         blob = table.column("point").to_pylist()
         points = np.frombuffer(b"".join(blob), dtype=np.int32).reshape(-1, GROUPS)[order]
         new = np.ones(len(order), dtype=bool)
@@ -273,7 +284,7 @@ def _search(percent: int, nearest: bool):
             right = rows[sides[rows] == 1]
             right = right if len(right) else left
             best.clear()
-            for a, b, bound in tree_pairs(points, sizes, left, right, percent):
+            for a, b, bound in tree_pairs(points, sizes, rest, left, right, percent):
                 if nearest:
                     value = bound / (sizes[a] + sizes[b])
                     ahead = np.where(nodes[a] > nodes[b], a, b)
@@ -313,11 +324,17 @@ def _verify(percent: int):
     return run
 
 
-def _candidates(filed: DataFrame, percent: int, nearest: bool, cell_points: int) -> DataFrame:
-    """Cut the roots into units of bounded size and search each unit's tree."""
+_UNIT = ("root", "unit", "side", "node", "size", "label", "point", "rest")
+
+
+def _units(filed: DataFrame, nearest: bool, cell_points: int) -> tuple[DataFrame, int, DataFrame]:
+    """Cut the roots into units of bounded size; also the number of rows of all, and a table to discard."""
     sizes = filed.groupBy("root").agg(F.count("*").alias("points"), F.countDistinct("label").alias("labels"))
-    sizes = sizes.where("points > 1 and labels > 1").select("root", F.ceil(F.col("points") / cell_points).alias("cells"))
-    placed = filed.join(sizes, "root").withColumn("cell", F.pmod("node", "cells"))
+    sizes = sizes.where("points > 1 and labels > 1").select("root", "points", F.ceil(F.col("points") / cell_points).alias("cells"))
+    sizes = stage(sizes, "jaccard")
+    copies = F.least("cells", F.lit(3)) if nearest else F.col("cells")
+    rows = sizes.agg(F.sum(F.col("points") * copies)).first()[0] or 0
+    placed = filed.join(sizes.drop("points"), "root").withColumn("cell", F.pmod("node", "cells"))
     last = F.when(F.lit(nearest), F.least(F.col("cells") - 1, F.lit(1))).otherwise(F.col("cells") - 1)
     steps = placed.withColumn("step", F.explode(F.sequence(F.lit(0), last)))
     other = F.pmod(F.col("cell") + F.col("step"), "cells")
@@ -328,23 +345,23 @@ def _candidates(filed: DataFrame, percent: int, nearest: bool, cell_points: int)
     units = steps.withColumn("unit", mine * F.col("cells") + theirs).withColumn(
         "side", F.when(mine == theirs, 0).otherwise((F.col("cell") == theirs).cast("int"))
     )
-    units = units.select("root", "unit", "side", "node", "size", "label", "point").distinct() if nearest else units
-    rows = units.select("root", "unit", "side", "node", "size", "label", "point")
-    return rows
+    units = units.select(*_UNIT)
+    return (units.distinct() if nearest else units), rows, sizes
 
 
 def _links(points: DataFrame, filed: DataFrame, percent: int, nearest: bool, cell_points: int, unit_rows: int) -> DataFrame:
-    rows = _candidates(filed, percent, nearest, cell_points)
-    buckets = F.lit(max(1, -(-filed.count() // unit_rows)))
+    units, rows, sizes = _units(filed, nearest, cell_points)
     found = (
-        rows.withColumn("bucket", F.pmod(F.xxhash64("root", "unit"), buckets))
+        units.withColumn("bucket", F.pmod(F.xxhash64("root", "unit"), F.lit(max(1, -(-rows // unit_rows)))))
         .groupBy("bucket")
         .applyInArrow(_search(percent, nearest), "a long, b long")
         .distinct()
     )
     side = points.select("node", "size", "shared")
     joined = found.join(side.toDF("a", "size_a", "shared_a"), "a").join(side.toDF("b", "size_b", "shared_b"), "b")
-    return stage(joined.mapInArrow(_verify(percent), "a long, b long"), "jaccard")
+    linked = stage(joined.mapInArrow(_verify(percent), "a long, b long"), "jaccard")
+    discard(sizes)
+    return linked
 
 
 def components(
@@ -382,8 +399,10 @@ def components(
         shared.where("part is not null").select("part", "keys", "nodes", "sizes", "holders").groupBy("part").applyInArrow(_points(percent), _POINTS),
         "jaccard",
     )
-    filed = points.select(F.explode("roots").alias("root"), "node", "size", "point")
-    first = _links(points, filed.withColumn("label", F.col("node")), percent, True, cell_points, unit_rows)
+    filed = points.select(F.posexplode("roots").alias("place", "root"), "node", "size", "point", "before", "chosen")
+    filed = filed.withColumn("rest", F.col("size") - F.col("before") - F.col("place"))
+    some = filed.where(F.array_contains("chosen", F.col("root"))).withColumn("label", F.col("node"))
+    first = _links(points, some, percent, True, cell_points, unit_rows)
     labels = links.components(first)
     labelled = filed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     second = _links(points, labelled, percent, False, cell_points, unit_rows)
@@ -401,12 +420,13 @@ def components(
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
     """The document with the smallest id of each component, and all documents without words; same columns."""
+    row = F.struct(*[docs[c].alias(c) for c in docs.columns])
     key = F.xxhash64(docs[id_column], docs[text_column])
-    keyed = docs.withColumn("_key", key)
-    found = components(keyed.select("_key", docs[text_column].alias("text")), "_key", percent=percent).distinct()
-    ids = keyed.select(F.col("_key").alias("doc_id"), F.col(id_column).alias("_id")).distinct()
-    place = F.struct(F.col("_id").isNull(), "_id", "doc_id")
+    keyed = docs.select(key.alias("key"), docs[id_column].alias("id"), docs[text_column].alias("text"), row.alias("row"))
+    found = components(keyed.select("key", "text"), "key", percent=percent).distinct()
+    ids = keyed.select(F.col("key").alias("doc_id"), "id").distinct()
+    place = F.struct(F.col("id").isNull(), "id", "doc_id")
     kept = found.join(ids, "doc_id").groupBy("component_id").agg(F.min(place).alias("best"))
-    kept = kept.select(F.col("best.doc_id").alias("_key"))
-    turn = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))  # of repeated rows, one
-    return keyed.join(kept, "_key", "left_semi").withColumn("_turn", turn).where("_turn = 1").select(*docs.columns)
+    kept = kept.select(F.col("best.doc_id").alias("key"))
+    turn = F.row_number().over(Window.partitionBy("key").orderBy("key"))  # of repeated rows, one
+    return keyed.join(kept, "key", "left_semi").withColumn("turn", turn).where("turn = 1").select("row.*")
