@@ -16,12 +16,14 @@ turns them into a score between 0 and 1. The mean differences of the sample come
 trained on its other half, as a dictionary knows its own texts too well. Without marking passages
 the trained dictionaries decide alone.
 
-How it is spread. The sample is the `sample_rows` rows of each label with the smallest hash of
-the id, texts of up to `sample_bytes` only; that bounds what the driver sees. Scoring is one pass over all
+How it is spread. The sample is the `sample_rows` ids of each label with the smallest hash, texts of up to
+`sample_bytes` only. Ids and lengths are joined with the labels, and only the texts of the chosen ids (at most
+2 x `sample_rows` x `sample_bytes`) reach the driver; no other text is shuffled. Scoring is one pass over all
 whole texts without any shuffle, and the dictionaries (about 200 KB) travel with the tasks.
 
 Edge cases. A missing or empty text has no gain and gets the score of texts without gain. Repeated
-labels count as often as they stand. If the sample lacks toxic or ordinary texts, every score is the
+labels count as often as they stand in the share of toxic labels; an id with several texts gives the least
+one to the sample. If the sample lacks toxic or ordinary texts, every score is the
 share of toxic labels (0 without labels). Empty tables give no rows; other columns are no inputs.
 """
 
@@ -211,10 +213,20 @@ def _apart(toxic: list[bytes], ordinary: list[bytes], window: int) -> np.ndarray
     return out
 
 
-def _sample(labelled: DataFrame, label: int, rows: int, most_bytes: int) -> list[bytes]:
-    part = labelled.where((F.col("toxic") == label) & F.octet_length("text").between(1, most_bytes))
-    part = part.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(rows)
-    return [r["text"].encode() for r in part.select("text").collect()]
+def _sample(rows: DataFrame, known: DataFrame, count: int, most_bytes: int) -> tuple[list[bytes], list[bytes]]:
+    """Texts of the rows of either label with the smallest hash of their id, toxic ones first.
+
+    Rows are chosen by id and length alone; of each partition at most `count` ids a label are compared with
+    those of others, and only the texts of the chosen ids are fetched.
+    """
+    sized = rows.select("doc_id", F.octet_length("text").alias("size")).where(F.col("size").between(1, most_bytes))
+    labelled = sized.select("doc_id").distinct().join(known.distinct(), "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    chosen = [labelled.where(F.col("toxic") == label).orderBy("h", "doc_id").limit(count) for label in (1, 0)]
+    ids = F.broadcast(chosen[0].select("doc_id", "toxic").union(chosen[1].select("doc_id", "toxic")))  # 2 x count rows
+    texts = rows.where(F.octet_length("text").between(1, most_bytes)).join(ids, "doc_id")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # one text of an id that repeats
+    found = sorted(((r["toxic"], str(r["doc_id"]), r["text"].encode()) for r in texts.collect()), key=lambda t: t[:2])
+    return [t for label, _, t in found if label], [t for label, _, t in found if not label]
 
 
 def _score(model: Model):
@@ -247,11 +259,9 @@ def score_texts(
     rows = docs.select(docs[id_column].alias("doc_id"), frames.plain_text(docs, text_column).alias("text"))
     rows = rows.withColumn("held_out", held_out)
     known = labels.select(labels[id_column].alias("doc_id"), labels[label_column].cast("int").alias("toxic"))
-    labelled = rows.where(~F.col("held_out")).join(known.where("toxic in (0, 1)"), "doc_id")
     learned = known.where("toxic in (0, 1)").where(~held_out)
     count, positive = learned.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    toxic = _sample(labelled, 1, sample_rows, sample_bytes) if positive else []
-    ordinary = _sample(labelled, 0, sample_rows, sample_bytes) if positive < count else []
+    toxic, ordinary = _sample(rows.where(~F.col("held_out")), learned, sample_rows, sample_bytes) if count else ([], [])
     model = fit(toxic, ordinary, positive / count if count else 0.0)
     schema = T.StructType([rows.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
     scored = rows.mapInArrow(_score(model), schema)
