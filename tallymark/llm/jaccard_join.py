@@ -11,12 +11,12 @@ A document is the set of its distinct five-word shingles. Documents with equal s
    Points are packed into leaves along the coordinates that spread most, and a leaf keeps its
    maxima. The sum of coordinate minima bounds the overlap of two points, and of two leaves by their
    maxima. Only pairs whose bound reaches the overlap that their sizes demand are verified.
-3. Only connections are asked for, so the tree is searched twice. The first search need not be complete:
-   it files a node under three of its roots at most (the rarest, the most frequent, the one of least hash, on
-   which copies agree) and takes the best bound of each point under each, so at most three pairs a node. Their
-   verified links make components. The second takes every pair that the bound admits between different
-   components, under all roots. Together they connect what all pairs would connect, without listing a
-   group of copies pair by pair.
+3. Only connections are asked for, so the tree is searched several times. The first searches need not be
+   complete: a node names the node of another component with the best bound, at first under three of its
+   roots (the rarest, the most frequent, the one of least hash, on which copies agree), then under all, while
+   that still finds many links. Their verified links make components. The last search takes every pair that
+   the bound admits between different components. Together they connect what all pairs would connect, without
+   listing a group of copies pair by pair.
 4. Roots are in one order for all nodes, rarest first. If a root is the first that two nodes share,
    nothing before it adds to their overlap, so what comes from it on in either list bounds the overlap too. A pair is
    taken only where this bound holds; at its first shared root it does for every pair that reaches the threshold.
@@ -33,6 +33,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -50,6 +52,7 @@ GROUPS = 32
 LEAF_POINTS = 32
 CELL_POINTS = 2048
 UNIT_ROWS = 20_000
+_ROUNDS, _FEW = 2, 50  # searches for the best pairs go on while they link one node in _FEW
 _SHORT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -263,7 +266,7 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, rest: np.ndarray, left: np
 
 
 def _search(percent: int, nearest: bool):
-    """Search the trees of a bucket of units: the best pair of each point, or all between components."""
+    """Search the trees of a bucket of units: the best pair of each node, or all, between components."""
 
     def run(table: pa.Table) -> pa.Table:
         roots, units = table.column("root").to_numpy(), table.column("unit").to_numpy()
@@ -283,24 +286,23 @@ def _search(percent: int, nearest: bool):
             left = rows[sides[rows] == 0]
             right = rows[sides[rows] == 1]
             right = right if len(right) else left
-            best.clear()
             for a, b, bound in tree_pairs(points, sizes, rest, left, right, percent):
+                other = labels[a] != labels[b]
+                a, b, bound = a[other], b[other], bound[other]
                 if nearest:
                     value = bound / (sizes[a] + sizes[b])
-                    ahead = np.where(nodes[a] > nodes[b], a, b)
-                    behind = np.where(nodes[a] > nodes[b], b, a)
-                    rank = np.lexsort((nodes[behind], -value, ahead))
-                    _, first = np.unique(ahead[rank], return_index=True)
+                    a, b, value = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((value, value))
+                    rank = np.lexsort((nodes[b], -value, nodes[a]))
+                    _, first = np.unique(nodes[a[rank]], return_index=True)
                     for k in rank[first]:
-                        key, entry = int(ahead[k]), (-float(value[k]), int(nodes[behind[k]]))
+                        key, entry = int(nodes[a[k]]), (-float(value[k]), int(nodes[b[k]]))
                         best[key] = min(best.get(key, entry), entry)
                 else:
-                    other = labels[a] != labels[b]
-                    found_a.append(nodes[a[other]])
-                    found_b.append(nodes[b[other]])
-            if best:
-                found_a.append(nodes[np.fromiter(best, np.int64, len(best))])
-                found_b.append(np.array([e[1] for e in best.values()], dtype=np.int64))
+                    found_a.append(nodes[a])
+                    found_b.append(nodes[b])
+        if best:
+            found_a.append(np.fromiter(best, np.int64, len(best)))
+            found_b.append(np.array([e[1] for e in best.values()], dtype=np.int64))
         a, b = np.concatenate(found_a), np.concatenate(found_b)
         pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), 1), axis=0)
         pairs = pairs[pairs[:, 0] != pairs[:, 1]]
@@ -402,12 +404,16 @@ def components(
     filed = points.select(F.posexplode("roots").alias("place", "root"), "node", "size", "point", "before", "chosen")
     filed = filed.withColumn("rest", F.col("size") - F.col("before") - F.col("place"))
     some = filed.where(F.array_contains("chosen", F.col("root"))).withColumn("label", F.col("node"))
-    first = _links(points, some, percent, True, cell_points, unit_rows)
-    labels = links.components(first)
-    labelled = filed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    second = _links(points, labelled, percent, False, cell_points, unit_rows)
-    labels = links.components(first.union(second))
-    discard(points, first, second)
+    found = [_links(points, some, percent, True, cell_points, unit_rows)]
+    labels, nodes = links.components(found[0]), points.count()
+    for turn in range(_ROUNDS + 1):
+        last = turn == _ROUNDS or found[-1].count() * _FEW < nodes
+        labelled = filed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        found.append(_links(points, labelled, percent, not last, cell_points, unit_rows))
+        labels = links.components(reduce(DataFrame.union, found))
+        if last:
+            break
+    discard(points, *found)
 
     placed = listed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = placed.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("smallest"))
