@@ -416,3 +416,43 @@ ORACLE["written_totals"] = " union all ".join(
     _totals(name, [REPORTS[name].columns[c] for c in REPORTS[name].totals])
     for name in ("refunds_vs_returns", "returns_vs_reimbursements", "cash_reimbursement")
 )
+
+_add("booking_files", "fx_bookings", "", """
+  select fba_id, replace(sku, '_NEW', '') as sku, cast(cartons as bigint) as cartons, cast(qty as bigint) as qty,
+    cast(cast(date_trunc('month', booking_date) as date) as string) as booking_date
+  from fx_bookings where length(fba_id) = 12""")
+
+ORACLE["written_detail"] = ORACLE["detail_flags"]
+
+_add("written_packing", "fx_packing fx_ledger", "packed all_received", """
+  select p.fba_id as "FBA ID", p.sku_id as "SKU ID", cast(p.quantity as bigint) as "Qty: Packing List",
+    cast(coalesce(r.quantity, 0) as bigint) as "Qty: Inv Ledger",
+    cast(coalesce(r.quantity, 0) - p.quantity as bigint) as "Excess/(Short) Received",
+    case when coalesce(r.quantity, 0) = p.quantity then 'PASS' else 'FAIL' end as "Excess/(Short) Received Status",
+    null as "BL Date", null as "Receipt Date", null as "Transit Days", 'SKU-wise' as "Report"
+  from (select fba_id, sku_id, sum(total_qty) as quantity from packed group by all) p
+  left join (select fba_id, sku_id, sum(quantity) as quantity from all_received group by all) r using (fba_id, sku_id)
+  union all
+  select p.fba_id, p.sku_id, cast(p.quantity as bigint), cast(coalesce(r.quantity, 0) as bigint), null, null,
+    cast(p.bl_date as string), coalesce(cast(r.receipt_date as string), '-'), r.receipt_date - p.bl_date, 'SKU-wise Date-wise'
+  from (select fba_id, sku_id, bl_date, sum(total_qty) as quantity from packed group by all) p
+  left join (select fba_id, sku_id, receipt_date, sum(quantity) as quantity from all_received group by all) r
+    using (fba_id, sku_id)""")
+
+_PLANTED = """
+  , planted as (
+    select *, case when substr(date_text, 1, 3) = '02/' then '02/31/' || substr(date_text, 7, 4) else date_text end as day,
+      case quantity when 7 then 'seven' when 9 then null else cast(quantity as string) end as count,
+      substr(date_text, 1, 3) = '02/' as bad_day, quantity in (7, 9) as bad_count
+    from fx_ledger)"""
+
+_add("ledger_good_lines", "fx_ledger", "", f"""
+  select date_text, msku, cast(quantity as bigint) as quantity, fulfillment_center, event_type, disposition, reference_id
+  from fx_ledger where substr(date_text, 1, 3) <> '02/' and quantity not in (7, 9)""")
+
+_add("ledger_rejects", "fx_ledger", "", _PLANTED + """
+  select 'date_text' as "column", day as raw, 'not a date' as reason, count(*) as lines from planted where bad_day group by day
+  union all
+  select 'quantity', count, case when count is null then 'missing' else 'not a number' end, count(*) from planted where bad_count group by count
+  union all
+  select 'any', null, '', count(*) from planted where bad_day or bad_count""")

@@ -17,7 +17,7 @@ from tallymark.operators.units import explode_units, negative_quantities, non_ne
 from tallymark.plans import customer_returns as cr
 from tallymark.plans import packing as pk
 from tallymark.plans import shipments as sh
-from tallymark.sources.reports import SOURCES, read_csv, select_report, with_booking_date
+from tallymark.sources.reports import SOURCES, read_bookings, read_checked, read_csv, select_report, with_booking_date
 from tallymark.sources.sheets import dispatches_from_cells, packing_from_cells
 from tallymark.sources.sinks import write_reports
 
@@ -470,3 +470,68 @@ def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(written["shipment_by_sku"]).withColumn("Row Kind", F.lit("DETAIL"))
     sums = spark.read.parquet(written["shipment_by_sku_totals"]).withColumn("Row Kind", F.lit("TOTAL"))
     return rows.unionByName(sums, allowMissingColumns=True)
+
+
+@query
+def booking_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Booking files with names such as 1994_03_01-booking.csv, read and dated by these names."""
+    bookings = frame(spark, sf_dir, "fx_bookings")
+    headed = bookings.select(
+        F.col("qty").alias(" Qty"), F.col("fba_id").alias("FBA ID "), F.col("cartons").alias("cartons"), F.col("sku").alias("Sku"),
+        F.concat(F.date_format("booking_date", "yyyy_MM"), F.lit("_01-booking.csv")).alias("name"),
+    )
+    folder = new_folder(spark, "bookings")
+    headed.repartition("name").write.partitionBy("name").csv(folder, header=True)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{folder}-named"))
+    for at in files.globStatus(path(f"{folder}/name=*/part-*.csv")):
+        files.rename(at.getPath(), path(f"{folder}-named/{at.getPath().getParent().getName().removeprefix('name=')}"))
+    clean = sh.clean_bookings(read_bookings(spark, f"{folder}-named"))
+    return clean.withColumn("booking_date", F.col("booking_date").cast("string"))
+
+
+@query
+def written_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail report as the sink leaves it, sorted and flagged."""
+    detail = sh.shipment_detail(*_shipment_inputs(spark, sf_dir))
+    return spark.read.parquet(write_reports({"shipment_detail": detail}, new_folder(spark, "reports"))["shipment_detail"])
+
+
+@query
+def written_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both packing reports as the sink leaves them."""
+    inputs = _packing_inputs(spark, sf_dir)
+    reports = {"packing_vs_receipts": pk.packing_vs_receipts(*inputs), "packing_vs_receipts_dated": pk.packing_vs_receipts_dated(*inputs)}
+    written = write_reports(reports, new_folder(spark, "reports"))
+    tables = [spark.read.parquet(written[name]).withColumn("Report", F.lit(REPORTS[name].title)) for name in reports]
+    return tables[0].unionByName(tables[1], allowMissingColumns=True)
+
+
+def _checked_ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A ledger file with planted bad dates and quantities and blanks, as good lines and refused values."""
+    ledger = frame(spark, sf_dir, "fx_ledger")
+    bad_day = F.when(F.col("date_text").startswith("02/"), F.concat(F.lit("02/31/"), F.substring("date_text", 7, 4)))
+    planted = ledger.select(
+        F.coalesce(bad_day, "date_text").alias("date_text"),
+        "msku",
+        F.when(F.col("quantity") == 7, "seven").when(F.col("quantity") == 9, None).otherwise(F.col("quantity").cast("string")).alias("quantity"),
+        *ledger.columns[3:],
+    )
+    folder = new_folder(spark, "ledgers")
+    _headed(planted, "ledger").write.csv(folder, header=True)
+    return read_checked(spark, "ledger", folder, filled=["quantity"], dates={"date_text": lambda c: us_day(c, strict=False)})
+
+
+@query
+def ledger_good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked_ledger(spark, sf_dir)[0]
+
+
+@query
+def ledger_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused values by column, text and reason, with the lines that have them."""
+    rejects = _checked_ledger(spark, sf_dir)[1]
+    grouped = rejects.groupBy("column", "raw", "reason").agg(F.countDistinct("line_id").alias("lines"))
+    lines = rejects.agg(F.countDistinct("line_id").alias("lines"))
+    return grouped.unionByName(lines.select(F.lit("any").alias("column"), F.lit(None).cast("string").alias("raw"), F.lit("").alias("reason"), "lines"))

@@ -55,7 +55,7 @@ def reconcile_shipments(
     how = {"thousands": thousands, "strict": strict}
     reports = shipments.reconcile(
         read_bookings(spark, bookings, **how),
-        dispatches_from_cells(spark.read.parquet(dispatch_cells)),
+        dispatches_from_cells(spark.read.parquet(dispatch_cells), strict),
         read_csv(spark, "ledger", ledger, required=RECEIPT_COLUMNS, **how),
         date_pattern,
         strict,
@@ -69,8 +69,10 @@ def reconcile_packing(
     ledger: Paths,
     folder: str,
     *,
+    date_pattern: str = "M/d/yyyy",
     strict: bool = True,
     thousands: bool = False,
 ) -> dict[str, str]:
     receipts = read_csv(spark, "ledger", ledger, required=RECEIPT_COLUMNS, strict=strict, thousands=thousands)
-    return write_reports(packing.reconcile(packing_from_cells(spark.read.parquet(packing_cells)), receipts), folder)
+    lines = packing_from_cells(spark.read.parquet(packing_cells), strict)
+    return write_reports(packing.reconcile(lines, receipts, date_pattern, strict), folder)

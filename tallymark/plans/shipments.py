@@ -31,6 +31,7 @@ from tallymark.functions.values import (
     whole_number,
 )
 from tallymark.operators.grouping import all_present, with_copies
+from tallymark.operators.joins import outer_join
 from tallymark.operators.reporting import COPY_NO
 from tallymark.operators.staging import stage
 from tallymark.operators.units import repeat_rows
@@ -95,6 +96,7 @@ def _any_copy(lines: DataFrame) -> Column:
 
 
 def _outer(bookings: DataFrame, dispatches: DataFrame, received: DataFrame) -> DataFrame:
+    """Full outer join of grouped sides, which have a row per key and pair of numbers at most."""
     return bookings.join(dispatches, KEYS, "full_outer").join(received, KEYS, "full_outer")
 
 
@@ -104,12 +106,14 @@ def shipment_detail(
     """Every booking line with every dispatch and receipt line of its key.
 
     The sides are joined as distinct lines with their number of copies, so that
-    repeated lines of a hot key multiply only after the shuffles.  Without any
+    repeated lines of a hot key multiply only after the shuffles.  Skew handling can split
+    each join; the first is staged, as it leaves joins on top of each other alone.  Without any
     dispatch, missing values and day counts stay null.  ``copy_no`` names a column that
     tells repeated lines apart.
     """
     sent = with_copies(dispatches, "_dispatched")
-    lines = _outer(with_copies(bookings, "_booked"), sent, with_copies(received, "_received"))
+    booked_and_sent = stage(outer_join(with_copies(bookings, "_booked"), sent, KEYS), "lines")
+    lines = outer_join(booked_and_sent, with_copies(received, "_received"), KEYS)
     one = F.lit(1).cast("bigint")
     copies = F.coalesce("_booked", one) * F.coalesce("_dispatched", one) * F.coalesce("_received", one)
 

@@ -6,13 +6,14 @@ matter, and then cast.  Identifiers stay text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.values import MONEY, day_from_file_name, money, whole_number
+from tallymark.operators.staging import stage
 
 
 @dataclass(frozen=True)
@@ -114,7 +115,7 @@ def _typed(column: Column, kind: str, thousands: bool, strict: bool = True) -> C
     if kind == "bigint":
         column = F.replace(column.cast("string"), F.lit(","), F.lit("")) if thousands else column
         return whole_number(column, None if strict else False)
-    return column.cast(kind)
+    return column.cast(kind) if strict else column.try_cast(kind)
 
 
 def select_report(df: DataFrame, source: str, thousands: bool = False, extra: Sequence[str] = ()) -> DataFrame:
@@ -137,8 +138,8 @@ _MANY_FILES = 100_000
 
 
 def _fields(spark: SparkSession, paths: Sequence[str], width: int, multi_line: bool) -> DataFrame:
-    """All lines of CSV files as arrays of text fields, with their file."""
-    names = [f"c{i}" for i in range(width)]
+    """All lines of CSV files as arrays of text fields, with their file; one field more than ``width``."""
+    names = [f"c{i}" for i in range(width + 1)]
     lines = (
         spark.read.schema(", ".join(f"{name} string" for name in names))
         .option("escape", '"')
@@ -171,8 +172,19 @@ def read_csv(
     name of the report) among its fields, trimmed and, for some reports, upper-cased.  Columns
     that are not required and that a file lacks are null.  Doubled quotes are read as one;
     line breaks inside quotes need ``multi_line``, which keeps a file from being split.
-    A file has at most ``width`` columns.
+    A file with a value beyond ``width`` columns raises.
     """
+    rows, column = _rows(spark, source, paths, required, multi_line, width)
+    return rows.select(
+        *[_typed(column(name), kind, thousands, strict).alias(new) for name, (new, kind) in SOURCES[source].columns.items()],
+        *extra,
+    )
+
+
+def _rows(
+    spark: SparkSession, source: str, paths: str | Sequence[str], required: Sequence[str] | None, multi_line: bool, width: int
+) -> tuple[DataFrame, Callable[[str], Column]]:
+    """Data lines with their file's header, and the text of a named column of them."""
     layout = SOURCES[source]
     names = {new: header for header, (new, _) in layout.columns.items()}
     wanted = [names[n] for n in (required or names) if names[n] != layout.first_column]
@@ -187,7 +199,9 @@ def read_csv(
         headers = F.broadcast(headers)
     rows = lines.filter(~F.col("is_header")).join(headers, "file", "left")
     no_header = F.raise_error(F.concat(F.lit(f"{source}: no header with {wanted} in "), F.col("file"))).cast("array<string>")
-    rows = rows.withColumn("header", F.coalesce("header", no_header))
+    too_wide = F.raise_error(F.concat(F.lit(f"{source}: more than {width} columns in "), F.col("file"))).cast("array<string>")
+    beyond = F.get("fields", F.lit(width)).isNotNull() | F.get("header", F.lit(width)).isNotNull()
+    rows = rows.withColumn("header", F.when(beyond, too_wide).otherwise(F.coalesce("header", no_header)))
 
     def column(name: str) -> Column:
         if name == layout.first_column:
@@ -195,10 +209,56 @@ def read_csv(
         place = F.array_position("header", name)
         return F.when(place > 0, F.get("fields", (place - 1).cast("int")))
 
-    return rows.select(
-        *[_typed(column(name), kind, thousands, strict).alias(new) for name, (new, kind) in layout.columns.items()],
-        *extra,
+    return rows, column
+
+
+# Reasons why a value is refused.
+NOT_A_NUMBER, NOT_A_DATE, MISSING = "not a number", "not a date", "missing"
+
+
+def read_checked(
+    spark: SparkSession,
+    source: str,
+    paths: str | Sequence[str],
+    *,
+    required: Sequence[str] | None = None,
+    filled: Sequence[str] = (),
+    dates: dict[str, Callable[[Column], Column]] | None = None,
+    thousands: bool = False,
+    multi_line: bool = False,
+    width: int = MAX_COLUMNS,
+) -> tuple[DataFrame, DataFrame]:
+    """CSV files as their good lines, and the refused values of the others.
+
+    A line is good if every number and every column named in ``dates`` can be read where it is not
+    blank, and no column named in ``filled`` is blank.  ``dates`` gives for a text column what turns it into a date,
+    or null if it is none, such as ``lambda c: us_day(c, strict=False)``.  Refused values come as
+    ``line_id, file, column, raw, reason``; lines with several have several rows, ``line_id`` tells lines apart.
+    The lines are parsed once and staged; both results read what was staged.
+    """
+    layout, dates = SOURCES[source], dates or {}
+    rows, column = _rows(spark, source, paths, required, multi_line, width)
+    texts = [column(name).cast("string").alias(new) for name, (new, _) in layout.columns.items()]
+    faults = []
+    for new, kind in layout.columns.values():
+        raw = F.col(new)
+        blank = raw.isNull() | (F.trim(raw) == "")
+        reason = F.when(blank, F.lit(MISSING)) if new in filled else F.when(blank, F.lit(None).cast("string"))
+        if kind != "string":
+            reason = reason.when(_typed(raw, kind, thousands, False).isNull(), NOT_A_DATE if kind == "date" else NOT_A_NUMBER)
+        elif new in dates:
+            reason = reason.when(dates[new](raw).isNull(), NOT_A_DATE)
+        elif new not in filled:
+            continue
+        faults.append(F.struct(F.lit(new).alias("column"), raw.alias("raw"), reason.alias("reason")))
+    refused = F.filter(F.array(*faults), lambda f: f["reason"].isNotNull())
+    read = rows.select(F.monotonically_increasing_id().alias("line_id"), "file", *texts)
+    checked = stage(read.withColumn("refused", refused), source)
+    good = checked.where(F.size("refused") == 0).select(
+        *[_typed(F.when(F.trim(F.col(new)) != "", F.col(new)), kind, thousands, False).alias(new) if kind != "string" else F.col(new) for new, kind in layout.columns.values()]
     )
+    rejects = checked.where(F.size("refused") > 0).select("line_id", "file", F.explode("refused").alias("r")).select("line_id", "file", "r.*")
+    return good, rejects
 
 
 def read_parquet(spark: SparkSession, source: str, paths: str | Sequence[str], thousands: bool = False) -> DataFrame:

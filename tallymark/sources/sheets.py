@@ -92,7 +92,7 @@ def table_below(
     )
 
 
-def packing_from_cells(cells: DataFrame) -> DataFrame:
+def packing_from_cells(cells: DataFrame, strict: bool = True) -> DataFrame:
     """Packing lines with the loading date of their sheet."""
     headers = labelled_row(cells, PACKING_LABEL_COLUMN, PACKING_HEADER_LABEL, "header_row")
     dates = value_beside(cells, PACKING_LABEL_COLUMN, PACKING_DATE_LABEL, PACKING_DATE_COLUMN, "bl_date_text")
@@ -101,19 +101,19 @@ def packing_from_cells(cells: DataFrame) -> DataFrame:
         "file",
         "carton_id",
         "upc_number",
-        whole_number(F.col("total_qty")).alias("total_qty"),
-        iso_day(F.col("bl_date_text")).alias("bl_date"),
+        whole_number(F.col("total_qty"), None if strict else False).alias("total_qty"),
+        iso_day(F.col("bl_date_text"), strict).alias("bl_date"),
     )
 
 
-def dispatches_from_cells(cells: DataFrame) -> DataFrame:
+def dispatches_from_cells(cells: DataFrame, strict: bool = True) -> DataFrame:
     """Dispatch lines with the shipment id and date written on their sheet."""
     heads = fixed_cells(cells, {"fba_id": DISPATCH_ID_CELL, "dispatch_date_text": DISPATCH_DATE_CELL})
     lines = table_below(cells, DISPATCH_HEADER_ROW, DISPATCH_HEADERS, DISPATCH_COLUMNS, upper=True)
     return lines.filter(F.col("sku").isNotNull()).join(heads, "file", "left").select(
         F.col("file").alias("file_name"),
         "fba_id",
-        iso_day(F.col("dispatch_date_text")).alias("dispatch_date"),
+        iso_day(F.col("dispatch_date_text"), strict).alias("dispatch_date"),
         "sku",
-        whole_number(F.col("inv_qty")).alias("inv_qty"),
+        whole_number(F.col("inv_qty"), None if strict else False).alias("inv_qty"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DecimalType, StringType
@@ -15,30 +17,69 @@ def _exact(df: DataFrame, column: str) -> DataType:
     return StringType() if isinstance(kind, DateType) else kind
 
 
+def _file_system(df: DataFrame, folder: str):
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path, path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _publish(df: DataFrame, hidden: str, written: dict[str, str], mode: str) -> None:
+    """Move finished tables to their places; nothing is moved if one of the places is taken."""
+    path, files = _file_system(df, hidden)
+    taken = [place for place in written.values() if files.exists(path(place))]
+    if taken and mode != "overwrite":
+        raise FileExistsError(f"there already: {', '.join(taken)}")
+    for place in written.values():
+        if place in taken:
+            files.delete(path(place), True)
+        if not files.rename(path(f"{hidden}/{place.rsplit('/', 1)[1]}"), path(place)):
+            raise OSError(f"{place} could not be put in its place")
+
+
 def write_reports(reports: dict[str, DataFrame], folder: str, mode: str = "errorifexists") -> dict[str, str]:
     """Write each report with flags, and its totals beside it, and return the folders.
 
+    All tables are written to a hidden folder first and moved when the last one is complete, so
+    that a failed job leaves no table and can be run again.  Modes: ``errorifexists`` and ``overwrite``.
     The totals are read from the columns just written, so a report is computed once.
     An empty report keeps its schema.
     """
-    written = {}
-    for name, df in reports.items():
-        layout = REPORTS[name]
-        flagged = with_flags(df, name)
-        if layout.sort:
-            number = [c for c in flagged.columns if c == COPY_NO]
-            flagged = flagged.orderBy(*[F.col(c).asc_nulls_last() for c in (*layout.sort, *number)])
-        printed = print_columns(flagged.drop(COPY_NO), name)
-        written[name] = f"{folder.rstrip('/')}/{name}"
-        printed.write.mode(mode).parquet(written[name])
-        if layout.totals:
-            saved = df.sparkSession.read.schema(printed.schema).parquet(written[name])
-            plain = saved.select(*[F.col(f"`{text}`").cast(_exact(df, c)).alias(text) for c, text in layout.columns.items()])
-            sums = totals(plain, [layout.columns[c] for c in layout.totals])
-            as_printed = [
-                F.col(f"`{f.name}`").cast("double" if isinstance(f.dataType, DecimalType) else f.dataType).alias(f.name)
-                for f in sums.schema
-            ]
-            written[f"{name}_totals"] = f"{written[name]}_totals"
-            sums.select(*as_printed).write.mode(mode).parquet(written[f"{name}_totals"])
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"unknown mode {mode}")
+    folder = folder.rstrip("/")
+    hidden = f"{folder}/_writing-{uuid.uuid4().hex}"
+    written: dict[str, str] = {}
+    any_report = next(iter(reports.values()), None)
+    if any_report is None:
+        return written
+    try:
+        for name, df in reports.items():
+            for table in _write_report(df, name, hidden):
+                written[table] = f"{folder}/{table}"
+        _publish(any_report, hidden, written, mode)
+    finally:
+        path, files = _file_system(any_report, folder)
+        files.delete(path(hidden), True)
     return written
+
+
+def _write_report(df: DataFrame, name: str, folder: str) -> list[str]:
+    """Write a report and its totals below a folder; the names of the tables."""
+    layout = REPORTS[name]
+    flagged = with_flags(df, name)
+    if layout.sort:
+        number = [c for c in flagged.columns if c == COPY_NO]
+        flagged = flagged.orderBy(*[F.col(c).asc_nulls_last() for c in (*layout.sort, *number)])
+    printed = print_columns(flagged.drop(COPY_NO), name)
+    printed.write.parquet(f"{folder}/{name}")
+    if not layout.totals:
+        return [name]
+    saved = df.sparkSession.read.schema(printed.schema).parquet(f"{folder}/{name}")
+    plain = saved.select(*[F.col(f"`{text}`").cast(_exact(df, c)).alias(text) for c, text in layout.columns.items()])
+    sums = totals(plain, [layout.columns[c] for c in layout.totals])
+    as_printed = [
+        F.col(f"`{f.name}`").cast("double" if isinstance(f.dataType, DecimalType) else f.dataType).alias(f.name)
+        for f in sums.schema
+    ]
+    sums.select(*as_printed).write.parquet(f"{folder}/{name}_totals")
+    return [name, f"{name}_totals"]
