@@ -52,7 +52,7 @@ GROUPS = 32
 LEAF_POINTS = 32
 CELL_POINTS = 2048
 UNIT_ROWS = 20_000
-_ROUNDS, _FEW = 2, 50  # searches for the best pairs go on while they link one node in _FEW
+_ROUNDS, _FEW = 1, 50  # searches for the best pairs go on while they link one node in _FEW
 _SHORT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -214,7 +214,8 @@ def _points(percent: int):
                 continue
             own = keys[a:b]
             prefix = n - -(-percent * n // 100) + 1 - (n - shared)
-            point = np.bincount((words.mix(own) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+            point = np.bincount((words.mix(own) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+            point = point.astype(np.uint16 if point.max() < 1 << 16 else np.int32)
             roots = own[:prefix].view(np.int64)
             chosen = sorted({int(roots[0]), int(roots[-1]), int(roots[words.mix(own[:prefix]).argmin()])})
             out.append((int(nodes[a].astype(np.int64)), n, packed.pack_sorted(np.sort(own)), point.tobytes(), roots.tolist(), n - shared, chosen))
@@ -265,6 +266,13 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, rest: np.ndarray, left: np
                 yield rows[a], other[b], bounds[a, b]
 
 
+def _counts(blobs: list[bytes]) -> np.ndarray:
+    """Group counts of points; those of very long texts are stored wider."""
+    if all(len(b) == 2 * GROUPS for b in blobs):
+        return np.frombuffer(b"".join(blobs), dtype=np.uint16).reshape(-1, GROUPS).astype(np.int32)
+    return np.array([np.frombuffer(b, dtype=np.uint16 if len(b) == 2 * GROUPS else np.int32) for b in blobs], dtype=np.int32)
+
+
 def _search(percent: int, nearest: bool):
     """Search the trees of a bucket of units: the best pair of each node, or all, between components."""
 
@@ -275,7 +283,7 @@ def _search(percent: int, nearest: bool):
         sides, labels = table.column("side").to_numpy()[order], table.column("label").to_numpy()[order]
         rest = table.column("rest").to_numpy()[order]
         blob = table.column("point").to_pylist()
-        points = np.frombuffer(b"".join(blob), dtype=np.int32).reshape(-1, GROUPS)[order]
+        points = _counts(blob)[order]
         new = np.ones(len(order), dtype=bool)
         new[1:] = (roots[order][1:] != roots[order][:-1]) | (units[order][1:] != units[order][:-1])
         cuts = np.concatenate((np.flatnonzero(new), [len(order)]))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tallymark.llm import jaccard_join
@@ -64,3 +65,10 @@ def test_columns_named_like_helpers_stay(spark):
     kept = jaccard_join.one_of_each(table)
     assert kept.columns == table.columns
     assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
+def test_wide_and_narrow_points_mix():
+    narrow, wide = np.arange(jaccard_join.GROUPS, dtype=np.uint16), np.full(jaccard_join.GROUPS, 70_000, dtype=np.int32)
+    found = jaccard_join._counts([narrow.tobytes(), wide.tobytes()])
+    assert (found[0] == narrow).all() and (found[1] == wide).all()
+    assert (jaccard_join._counts([narrow.tobytes()])[0] == narrow).all()
