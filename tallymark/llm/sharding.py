@@ -4,7 +4,8 @@ The tree splits a node at the weighted median of its widest dimension and goes o
 holds the target bytes, the total divided by the number of shards. Widths are ranges relative to
 the range of the whole table; among equally wide dimensions the first named is cut. Where a node
 stands for an odd number of leaves it is cut at the matching quantile. Rows that share the value at
-the cut are divided by a hash of the row, so one hot source is split like any other rows.
+the cut are divided by a tie: a hash of the row, then a number that the row got when the table was
+staged. So one hot source is split like any other rows, and so are equal rows.
 
 Medians are found by rounds of histograms: Spark adds up the weights per node and bin, a few
 hundred rows per node reach the driver, and the bin of the median is divided again until it weighs
@@ -14,8 +15,8 @@ numbers, not the texts. There is no Python in the tasks.
 Slots number the rows of a shard without gaps: rows are numbered inside hash buckets of bounded
 size, and the buckets' counts are added up in order.
 
-Edge cases. A missing text has size 1; missing dimension values count as 0; rows that are equal in
-all columns used cannot be told apart and stay in one shard; an empty table gives no rows; other
+Edge cases. A missing text has size 1; missing dimension values count as 0; equal rows are spread
+over shards like others, which of them goes where is not fixed; an empty table gives no rows; other
 columns are ignored.
 """
 
@@ -33,6 +34,7 @@ from tallymark.operators.staging import stage
 BINS = 512
 SLOT_ROWS = 50_000
 _LIMIT = 1 << 61
+_TIE_BITS = 20  # of a tie: the part that tells equal rows apart
 #: A cut may miss the median by this share of its node's weight.
 _TOLERANCE = 1e-4
 
@@ -174,13 +176,15 @@ def shard_texts(
     size = (F.octet_length(text) + 1).cast("long")
     crc = F.crc32(text.cast("binary"))
     dims = [*[_number(docs, name) for name in dimensions], size]
+    of_row = F.shiftright(F.xxhash64(docs[id_column], size, crc), _TIE_BITS + 2) * (1 << _TIE_BITS)
+    of_place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << _TIE_BITS))
     rows = stage(
         docs.select(
             docs[id_column].alias("doc_id"),
             size.alias("size"),
             crc.alias("text_crc32"),
             F.array(*dims).alias("dims"),
-            F.shiftright(F.xxhash64(docs[id_column], size, crc), 2).alias("tie"),
+            (of_row + of_place).alias("tie"),
             F.lit(0).alias("node"),
         ),
         "sharding",
