@@ -15,7 +15,7 @@ on the digest (partial maxima first) and only digests that occur twice or more a
 payloads of single pages are not shuffled for it. Records are read by (archive, record) in any task.
 
 Edge cases. A missing payload is empty; a missing or odd URL is written as far as a header line can
-hold it; missing ids never win over others; rows with the winning id are responses even if
+hold it; text ids are stored URL-encoded, so that any id comes back as it was; missing ids never win over others; rows with the winning id are responses even if
 several rows share it; an empty table gives an empty archive and no rows; other columns are ignored.
 """
 
@@ -87,7 +87,7 @@ def write_archives(
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.when(F.col("revisit"), F.lit(f"WARC-Profile: {_PROFILE}")),
         F.when(F.col("revisit"), F.concat(F.lit("WARC-Refers-To: "), _urn(F.col("response_id").cast("string"), F.col("digest")))),
-        F.concat(F.lit("Page-ID: "), key),
+        F.concat(F.lit("Page-ID: "), F.url_encode(key)),
         "Content-Type: application/http; msgtype=response",
         F.concat(F.lit("Content-Length: "), F.octet_length("http") + F.octet_length("body")),
         "",
@@ -192,7 +192,7 @@ def _read(batches):
 def read_archives(archives: DataFrame, id_type: T.DataType = T.LongType()) -> DataFrame:
     """One row per record; a revisit takes size and digest from the response that it names."""
     ordered = archives.repartition("archive", "record").sortWithinPartitions("archive", "record", "chunk")
-    rows = ordered.mapInArrow(_read, _READ).withColumn("page_id", F.col("page_id").cast(id_type))
+    rows = ordered.mapInArrow(_read, _READ).withColumn("page_id", F.url_decode("page_id").cast(id_type))
     named = (
         rows.where("record_type = 'response'")
         .groupBy(F.col("record_id").alias("refers_to"))
