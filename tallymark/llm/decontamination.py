@@ -14,7 +14,8 @@ that size, each with its own pass, so memory stays bounded for any benchmark.
 
 Edge cases. Items shorter than the masks are matched whole; items without words match nothing; equal
 items are searched once and reported each; a missing text has no words; empty tables give no rows;
-repeated rows are reported each; other columns pass through `clean` untouched.
+repeated rows are reported each; hits of long and repetitive texts are expanded and compared in steps of
+bounded size; other columns pass through `clean` untouched and do not reach `contaminated`.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ ENOUGH_TOKENS = 40
 SLICE_BYTES = 4 << 20
 _MISS = -2
 _FILTER_BITS = 22
+_EXPAND = 1 << 20  # hits or places in memory at a time
 _STEP = np.uint64(0xA0761D6478BD642F)
 
 
@@ -90,44 +92,79 @@ class Index:
         return Index(w.hashes, w.firsts, w.counts, masks, seeds[order], items[order], places[order], bits)
 
     def hits(self, w: words.Words) -> np.ndarray:
-        """Distinct rows of text number, item number, offset of the item in the text."""
-        found = [np.zeros((0, 3), np.int64)]
+        """Distinct rows of text number, item number, offset of the item in the text.
+
+        Seeds that many places share are expanded in steps of bounded size, each made distinct.
+        """
+        longest = int(self.lengths.max(initial=0))
+        span = longest + int(w.counts.max(initial=0)) + 1
+        found = np.zeros(0, np.int64)
         for mask in self.masks:
             seeds, at = masked(w.hashes, w.text, mask)
             maybe = self.filter[seeds >> np.uint64(64 - _FILTER_BITS)]
             seeds, at = seeds[maybe], at[maybe]
             low = np.searchsorted(self.seeds, seeds, "left")
-            count = np.searchsorted(self.seeds, seeds, "right") - low
-            entry = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-            at = np.repeat(at, count)
-            text = w.text[at]
-            offset = at - w.firsts[text] - self.places[entry]
-            found.append(np.stack((text, self.items[entry], offset), 1))
-        return np.unique(np.concatenate(found), axis=0)
+            closes = np.cumsum(np.searchsorted(self.seeds, seeds, "right") - low)
+            opens = np.concatenate(([0], closes[:-1])) if len(closes) else closes
+            for first in range(0, int(closes[-1]) if len(closes) else 0, _EXPAND):
+                number = np.arange(first, min(first + _EXPAND, int(closes[-1])))
+                seed = np.searchsorted(closes, number, "right")
+                entry = low[seed] + number - opens[seed]
+                text = w.text[at[seed]]
+                offset = at[seed] - w.firsts[text] - self.places[entry]
+                codes = (text.astype(np.int64) * len(self.lengths) + self.items[entry]) * span + offset + longest
+                found = np.union1d(found, codes)
+        pair, offset = np.divmod(found, span)
+        return np.stack((*np.divmod(pair, max(1, len(self.lengths))), offset - longest), 1)
+
+    def overlaps(self, w: words.Words, hits: np.ndarray) -> np.ndarray:
+        """For each hit the equal tokens, first word in the text and length of the best stretch at its offset."""
+        out = np.zeros((len(hits), 3), np.int64)
+        order = np.argsort(hits[:, 1], kind="stable")
+        cuts = np.flatnonzero(np.diff(hits[order, 1], prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(order)]):
+            item = int(hits[order[a], 1])
+            m = int(self.lengths[item])
+            tokens = self.tokens[self.firsts[item] : self.firsts[item] + m]
+            step = max(1, _EXPAND // m)
+            for first in range(a, b, step):
+                rows = order[first : min(first + step, b)]
+                out[rows] = _best(w, tokens, hits[rows, 0], hits[rows, 2])
+        return out
 
     def overlap(self, w: words.Words, text: int, item: int, offset: int) -> tuple[int, int, int]:
-        """Equal tokens, first word in the text and length of the best stretch at an offset."""
-        n, m = int(w.counts[text]), int(self.lengths[item])
-        low, high = max(0, -offset), min(m, n - offset)
-        base = w.firsts[text] + offset
-        same = w.hashes[base + low : base + high] == self.tokens[self.firsts[item] + low : self.firsts[item] + high]
-        gain = np.concatenate(([0], np.cumsum(np.where(same, 1, _MISS))))
-        floor = np.minimum.accumulate(gain)
-        end = int(np.argmax(gain - floor))
-        begin = int(np.flatnonzero(gain[: end + 1] == floor[end])[-1])
-        return int(same[begin:end].sum()), offset + low + begin, end - begin
+        """The same of one hit."""
+        return tuple(self.overlaps(w, np.array([[text, item, offset]]))[0].tolist())
+
+
+def _best(w: words.Words, tokens: np.ndarray, text: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Best stretches of an item's tokens laid over texts at offsets; places outside a text are unequal."""
+    place = offset[:, None] + np.arange(len(tokens))
+    inside = (place >= 0) & (place < w.counts[text][:, None])
+    same = inside & (w.hashes[np.where(inside, w.firsts[text][:, None] + place, 0)] == tokens)
+    gain = np.zeros((len(text), len(tokens) + 1), np.int32)
+    np.cumsum(np.where(same, 1, _MISS), axis=1, out=gain[:, 1:])
+    floor = np.minimum.accumulate(gain, axis=1)
+    end = np.argmax(gain - floor, axis=1)
+    column, row = np.arange(len(tokens) + 1), np.arange(len(text))
+    low = (gain == floor[row, end][:, None]) & (column <= end[:, None])
+    begin = len(tokens) - np.argmax(low[:, ::-1], axis=1)
+    misses = ((end - begin) - (gain[row, end] - gain[row, begin])) // (1 - _MISS)
+    return np.stack((end - begin - misses, offset + begin, end - begin), 1)
 
 
 def leaks(index: Index, texts: words.Texts, min_share: float, enough: int) -> list[tuple[int, int, int, int, int]]:
     """Per text and item that leaks into it: text, item, first word, length, equal tokens of the best overlap."""
     w = words.words(texts, lower=True)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for text, item, offset in index.hits(w).tolist():
-        equal, first, length = index.overlap(w, text, item, offset)
-        if equal >= min(min_share * index.lengths[item], enough):
-            key, entry = (text, item), (equal, -first, length)
-            best[key] = max(best.get(key, entry), entry)
-    return [(t, i, -first, length, equal) for (t, i), (equal, first, length) in sorted(best.items())]
+    hits = index.hits(w)
+    found = index.overlaps(w, hits)
+    good = found[:, 0] >= np.minimum(min_share * index.lengths[hits[:, 1]], enough)
+    text, item = hits[good, :2].T
+    equal, first, length = found[good].T
+    order = np.lexsort((-length, first, -equal, item, text))  # the best of each text and item comes first
+    keys = np.stack((text, item), 1)[order]
+    head = np.flatnonzero(np.any(np.diff(keys, axis=0, prepend=-1), axis=1))
+    return np.stack((text, item, first, length, equal), 1)[order[head]].tolist()
 
 
 def _slices(items: DataFrame, id_column: str, text_column: str, slice_bytes: int):
