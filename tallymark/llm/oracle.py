@@ -117,7 +117,62 @@ scored as (
 select query_id, rank, vec_id, score from (
   select *, row_number() over (partition by q order by score desc, vec_id, r)::integer as rank from scored) where rank <= 20"""
 
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Figures of the quality rules, and the lines that more than 30 documents and 0.1 % of a host's documents hold.
+_QUALITY = f"""with docs as materialized (
+  select row_number() over () as r, doc_id, coalesce(source::varchar, '') as host, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents),
+windows as (
+  select r, i, w[i:i + 2] as three from (select r, w, unnest(range(1, len(w) - 1)) as i from docs)),
+covered as (
+  select r, count(distinct i + k) as n_repeat_words
+  from (select r, i, count(*) over (partition by r, three) as n from windows), range(3) t(k) where n > 1 group by r),
+lines as materialized (
+  select r, host, place, raw, regexp_extract_all({_LOWER.format('raw')}, '{_WORD}') as lw
+  from (select r, host, unnest(l) as raw, unnest(range(len(l))) as place from (select r, host, string_split(text, chr(10)) as l from docs))
+  where len(regexp_extract_all(raw, '{_WORD}')) > 0),
+dup as (select r, sum(n - 1)::bigint as n_dup_lines from (select r, raw, count(*) as n from lines group by r, raw) group by r),
+sequences as (
+  select d.r, d.host, coalesce(string_agg(array_to_string(lw, ' '), chr(10) order by place), '') as sequence
+  from docs d left join lines l on d.r = l.r group by d.r, d.host),
+held as (
+  select l.r, l.host, array_to_string(lw, ' ') as line, sum(len(lw))::bigint as line_words, any_value(sequence) as sequence
+  from lines l join sequences s on l.r = s.r group by l.r, l.host, line),
+sizes as (select host, count(distinct sequence) as all_documents from sequences group by host),
+common as (
+  select host, line from (select host, line, count(distinct sequence) as n from held group by host, line) join sizes using (host)
+  where n > 30 and n > 0.001 * all_documents),
+removed as (select r, sum(line_words)::bigint as removed_words from held join common using (host, line) group by r),
+figures as (
+  select doc_id, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+    coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(removed_words, 0) as removed_words
+  from docs left join covered using (r) left join dup using (r) left join removed using (r))
+select *, base_failed is false and n_words - removed_words >= 10 and n_words - removed_words >= 0.3 * n_words as kept
+from (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from figures)"""
+
+#: Documents linked by shared shingles, and the smallest id that links lead to.
+_JACCARD = f"""with recursive docs as materialized (
+  select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') as w from documents),
+shingles as materialized (
+  select doc_id, unnest(list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [w]
+    else list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) end)) as s from docs),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by x, y),
+pairs as (
+  select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * c >= 75 * (a.n + b.n - c)),
+links as materialized (select x, y from pairs union all select y, x from pairs),
+reach as (
+  select doc_id, doc_id as to_id from docs union select r.doc_id, y from reach r join links on r.to_id = x)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id
+from docs d left join sizes using (doc_id) join (select doc_id, min(to_id) as component_id from reach group by doc_id) using (doc_id)"""
+
 ORACLE = {
+    "op6_quality_rules": _QUALITY,
+    "op7_jaccard_join": _JACCARD,
     "op11_merkle_manifest": _merkle(),
     "op12_spelling_variants": _SPELLING,
     "op13_maxscore_search": _MAXSCORE,
