@@ -4,9 +4,12 @@ Texts of up to `chunk_chars` are one chunk. Longer ones are cut into chunks that
 one by `overlap_chars`, and the chunks are pre-tokenised apart from each other, in any task. Two
 neighbours agree from the first place in their overlap where both begin a pre-token and no white
 space stands before it: the pattern looks one character ahead at most and never back, so from
-there on both see the same pre-tokens. The pieces between such places are encoded apart from each
-other and joined in order. Neighbours that never agree (one word longer than the overlap) are put
-together with all that follows in that text, so the result is exact for every text.
+there on both see the same pre-tokens. Neighbours that disagree in the overlap (a word longer than it) are
+compared once more over the whole of the second chunk, where the text is the same from the first
+shared beginning on. The pieces between such places are encoded apart from each other and joined in
+order. Only a word that fills a whole chunk, so that its neighbour agrees nowhere, is put together with
+all that follows in that text: which of the chunks behind it is right cannot be told from neighbours
+alone. The result is exact for every text.
 
 Decoding concatenates the bytes of the ids, piece by piece.
 
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,17 +77,22 @@ def split(text: str, size: int, overlap: int) -> Iterator[tuple[int, str]]:
         yield number, text[at : at + size + overlap]
 
 
-def stitch(parts: list[tuple[list[int], list[int]]], size: int) -> list[int | None]:
-    """Where each chunk's own part begins, counted in its text; None from the first failure on.
+def stitch(found: list[int | None], size: int) -> Iterator[tuple[int, int, int, int]]:
+    """Chunk, piece, begin and end of the parts of each chunk's first `size` characters.
 
-    parts has, for each chunk in order, the boundaries in its first overlap and those in the
-    overlap with the next chunk, both counted from the chunk's beginning.
+    found has, for each chunk but the last, where its successor agrees with it, counted in the
+    successor, or None. Behind the first None all is one piece.
     """
-    begins: list[int | None] = [0]
-    for (_, tail), (head, _) in zip(parts, parts[1:]):
-        shared = {p - size for p in tail}.intersection(head) if begins[-1] is not None else ()
-        begins.append(min(shared, default=None))
-    return begins
+    piece = 0
+    yield 0, 0, 0, size
+    for chunk, begin in enumerate(found, 1):
+        if begin is None or piece < chunk - 1:
+            yield chunk, piece, 0, size
+        else:
+            if begin:
+                yield chunk, piece, 0, begin
+            piece = chunk
+            yield chunk, piece, begin, size
 
 
 def _encode_whole(path: str, pattern: str):
@@ -146,20 +154,30 @@ def _pretokenise(pattern: str, size: int, overlap: int):
     return run
 
 
+def _compare_whole(pattern: str, size: int):
+    """Where the second of two chunks agrees with the first, looked for in all of the second."""
+
+    def run(batches):
+        compiled = regex.compile(pattern)
+        for batch in batches:
+            found = []
+            for one, two in zip(batch.column("text").to_pylist(), batch.column("next").to_pylist()):
+                own = {p - size for p in boundaries(one[:size] + two, compiled, size, 2 * size)}
+                found.append(min(own.intersection(boundaries(two, compiled, 0, size)), default=None))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("chunk"), pa.array(found, pa.int32())], ["row", "chunk", "later"]
+            )
+
+    return run
+
+
 def _stitched(size: int):
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("chunk", "head", "tail"))))
-        begins = stitch([(h, t) for _, h, t in rows], size)
-        piece, out = 0, []
-        for k, begin in enumerate(begins):
-            piece = k if begin is not None else piece
-            ends = begins[k + 1] + size if k + 1 < len(begins) and begins[k + 1] is not None else size
-            if k + 1 == len(begins):
-                ends = None
-            out.append((table.column("row")[0].as_py(), rows[k][0], piece, begin or 0, ends))
-        types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
-        names = ["row", "chunk", "piece", "begins", "ends"]
-        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
+        found = [f for _, f in sorted(zip(table.column("chunk").to_pylist(), table.column("found").to_pylist()))]
+        parts = list(stitch(found[:-1], size))
+        columns = [pa.array([p[i] for p in parts], pa.int32()) for i in range(4)]
+        row = pa.array([table.column("row")[0].as_py()] * len(parts), pa.int64())
+        return pa.table([row, *columns], names=["row", "chunk", "piece", "begins", "ends"])
 
     return run
 
@@ -202,7 +220,7 @@ def _encode_pieces(path: str, pattern: str):
                 yield made(open_row, "".join(parts))
                 parts = []
             open_row = row
-            parts.append(row["text"][row["begins"] : row["ends"]])
+            parts.append(row["text"])
         if open_row:
             yield made(open_row, "".join(parts))
 
@@ -265,13 +283,29 @@ def encode_texts(
     bounds = chunks.select("row", "chunk", "text").mapInArrow(
         _pretokenise(pattern, chunk_chars, overlap_chars), "row long, chunk int, head array<int>, tail array<int>"
     )
-    pieces = bounds.groupBy("row").applyInArrow(
-        _stitched(chunk_chars), "row long, chunk int, piece int, begins int, ends int"
+    in_order = Window.partitionBy("row").orderBy("chunk")
+    head = F.lead("head").over(in_order)
+    shared = F.array_min(F.array_intersect(F.transform("tail", lambda p: p - chunk_chars), head))
+    pairs = stage(bounds.select("row", "chunk", shared.alias("found"), head.isNull().alias("last")), "bpe")
+    open_pairs = pairs.where("found is null and not last").select("row", "chunk")
+    following = chunks.select("row", (F.col("chunk") - 1).alias("chunk"), F.col("text").alias("next"))
+    later = (
+        chunks.select("row", "chunk", "text")
+        .join(open_pairs, ["row", "chunk"])
+        .join(following, ["row", "chunk"])
+        .mapInArrow(_compare_whole(pattern, chunk_chars), "row long, chunk int, later int")
+    )
+    pieces = (
+        pairs.join(later, ["row", "chunk"], "left")
+        .select("row", "chunk", F.coalesce("found", "later").alias("found"))
+        .groupBy("row")
+        .applyInArrow(_stitched(chunk_chars), "row long, chunk int, piece int, begins int, ends int")
     )
     piece_schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", id_type)])
     piece_schema.add("piece", T.IntegerType()).add("ids", T.ArrayType(T.IntegerType()))
     encoded = (
         chunks.join(pieces, ["row", "chunk"])
+        .select("row", "doc_id", "piece", "chunk", F.expr("substring(text, begins + 1, ends - begins)").alias("text"))
         .repartition("row", "piece")
         .sortWithinPartitions("row", "piece", "chunk")
         .mapInArrow(_encode_pieces(path, pattern), piece_schema)

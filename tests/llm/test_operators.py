@@ -504,3 +504,47 @@ def test_shards(spark, docs, texts):
     found = {r.doc_id: r for r in sharding.shard_texts(docs).collect()}
     assert all(found[i].size == len((t or "").encode()) + 1 for i, t in enumerate(texts))
     assert {r.law for r in found.values()} == {"bytes"} and {r.grown_shard for r in found.values()} == {None}
+
+
+def test_long_words_do_not_join_the_chunks_behind_them(spark):
+    import public_tokenizers
+
+    ship(spark)
+    g = random.Random(31)
+    words_ = ["".join(g.choice("abc12é!'") for _ in range(g.randint(1, 9))) for _ in range(400)]
+    long_ = ["".join(g.choice("xyz0123456789+/") for _ in range(n)) for n in (40, 60, 90, 300)]
+    cases = [" ".join(words_), "7" * 1000 + " end"]
+    cases += [" ".join([*words_[:at], x, *words_[at:]]) for at in (3, 57, 200) for x in long_]
+    cases += ["\n\n ".join([*words_[:20], long_[0], long_[1], *words_[20:]]), " " * 500 + "a" + "\n" * 300]
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoding, _ = bpe.load(path, pattern)
+    table = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for r in bpe.encode_texts(table, path, pattern, chunk_chars=64, overlap_chars=16).collect():
+        ids = encoding.encode_ordinary(cases[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_chunks_are_cut_where_neighbours_agree():
+    assert list(bpe.stitch([3, 40, 0], 64)) == [(0, 0, 0, 64), (1, 0, 0, 3), (1, 1, 3, 64), (2, 1, 0, 40), (2, 2, 40, 64), (3, 3, 0, 64)]
+    assert [p[1] for p in bpe.stitch([3, None, 0], 64)] == [0, 0, 1, 1, 1]
+    one, two = "ab " * 20 + "w" * 30, "w" * 26 + " ab" * 20
+    batch = pa.RecordBatch.from_pydict({"row": [0], "chunk": pa.array([0], pa.int32()), "text": [one[:64]], "next": [two]})
+    out = next(bpe._compare_whole(r" ?\w+|\s+", 64)(iter([batch])))
+    assert out.column("later").to_pylist() == [26]  # the word is longer than an overlap of 16
+
+
+@pytest.mark.parametrize("band", [0, 1, 2, 5])
+def test_edit_distance_of_long_pairs(band):
+    g = random.Random(band)
+    pairs = []
+    for _ in range(25):
+        a = [g.choice("abé") for _ in range(g.randint(255, 330))]
+        b = list(a)
+        for _ in range(g.randint(0, 6)):
+            at = g.choice([0, 1, len(b) // 2, len(b) - 1, len(b)])
+            b[at : at + g.randint(0, 1)] = g.choice(["", "a", "z"])
+        pairs.append(("".join(a), "".join(b)))
+    pairs += [("a" * 300, "a" * n) for n in (298, 299, 300, 301, 305)]
+    sides = [[np.frombuffer(p[k].encode("utf-32-le"), np.uint32) for p in pairs] for k in (0, 1)]
+    assert edit_distance.within(*sides, band).tolist() == [edits(a, b) <= band for a, b in pairs]
