@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 _CELLS = 1 << 21
+_LONG = 256  # longer pairs are cut to where they differ before columns are stepped through
 
 
 def _padded(texts: list[np.ndarray], width: int, fill: int, lead: int) -> np.ndarray:
@@ -18,8 +19,20 @@ def _padded(texts: list[np.ndarray], width: int, fill: int, lead: int) -> np.nda
     return out
 
 
+def _differing(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two texts without their common beginning and end, which cost no edits."""
+    for _ in range(2):
+        shorter = min(len(left), len(right))
+        unequal = left[:shorter] != right[:shorter]
+        same = int(unequal.argmax()) if unequal.any() else shorter
+        left, right = left[same:][::-1], right[same:][::-1]
+    return left, right
+
+
 def within(left: list[np.ndarray], right: list[np.ndarray], band: int) -> np.ndarray:
     """Whether each pair of code point arrays is at most band edits apart (band below 31)."""
+    cut = [_differing(a, b) if min(len(a), len(b)) > _LONG else (a, b) for a, b in zip(left, right)]
+    left, right = [a for a, _ in cut], [b for _, b in cut]
     n, m = (np.array([len(t) for t in side], dtype=np.int64) for side in (left, right))
     result = np.zeros(len(n), dtype=bool)
     near = np.flatnonzero(np.abs(n - m) <= band)
