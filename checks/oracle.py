@@ -456,3 +456,14 @@ _add("ledger_rejects", "fx_ledger", "", _PLANTED + """
   select 'quantity', count, case when count is null then 'missing' else 'not a number' end, count(*) from planted where bad_count group by count
   union all
   select 'any', null, '', count(*) from planted where bad_day or bad_count""")
+
+ORACLE["written_flags"] = " union all ".join(
+    f"""select '{report}' as report, '{column}' as "column",
+      cast(count(*) filter (where "{column} Status" = 'PASS') as bigint) as passed,
+      cast(count(*) filter (where "{column} Status" = 'FAIL') as bigint) as failed from ({rows})"""
+    for report, rows in (
+        ("shipment_by_sku", ORACLE["report_flags"]),
+        ("packing_vs_receipts", f"""select * from ({ORACLE['written_packing']}) where "Report" = 'SKU-wise'"""),
+    )
+    for column in (REPORTS[report].columns[c] for c in REPORTS[report].flags)
+)

@@ -472,6 +472,18 @@ def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(sums, allowMissingColumns=True)
 
 
+@query
+def written_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of passed and failed rows of the shipment and packing reports, from the jobs that write them."""
+    reports = {
+        "shipment_by_sku": sh.shipment_by_sku(*_shipment_inputs(spark, sf_dir)),
+        "packing_vs_receipts": pk.packing_vs_receipts(*_packing_inputs(spark, sf_dir)),
+    }
+    written = write_reports(reports, new_folder(spark, "reports"), flag_counts=True)
+    tables = [spark.read.parquet(written[f"{name}_flags"]).withColumn("report", F.lit(name)) for name in reports]
+    return tables[0].unionByName(tables[1])
+
+
 @query
 def booking_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Booking files with names such as 1994_03_01-booking.csv, read and dated by these names."""

@@ -217,3 +217,23 @@ def test_empty_report_keeps_its_schema(spark, tmp_path):
     assert df.count() == 0
     assert "UNITS SHORT RECEIVED Status" in df.columns
     assert spark.read.parquet(written["shipment_by_sku_totals"]).first()["UNITS BOOKED"] == 0
+
+
+def test_totals_and_flags_come_from_the_writing_job(spark, tmp_path):
+    def seen(kind, value):
+        calls.add(1)
+        return f"{kind}{value}"
+
+    calls = spark.sparkContext.accumulator(0)
+    sku = F.udf(seen)(F.lit("s"), F.col("id"))
+    short = (F.col("id") % 3).cast("long")
+    figures = ["cartons_booked", "cartons_dispatched", "cartons_short_dispatched", "units_booked", "units_received", "units_short_received"]
+    rows = spark.range(0, 1000, 1, 7).select(F.lit("f").alias("fba_id"), sku.alias("sku"), *[short.alias(c) for c in figures])
+    written = write_reports({"shipment_by_sku": rows}, str(tmp_path / "out"), flag_counts=True)
+    assert calls.value == 1000
+    assert spark.read.parquet(written["shipment_by_sku_totals"]).first()["UNITS BOOKED"] == 999
+    counts = {r["column"]: (r.passed, r.failed) for r in spark.read.parquet(written["shipment_by_sku_flags"]).collect()}
+    assert counts == {"CARTONS SHORT DISPATCHED": (334, 666), "UNITS SHORT RECEIVED": (334, 666)}
+    empty = write_reports({"shipment_by_sku": rows.limit(0)}, str(tmp_path / "empty"), flag_counts=True)
+    assert spark.read.parquet(empty["shipment_by_sku_totals"]).first()["UNITS BOOKED"] == 0
+    assert {(r.passed, r.failed) for r in spark.read.parquet(empty["shipment_by_sku_flags"]).collect()} == {(0, 0)}
