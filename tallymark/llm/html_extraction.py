@@ -27,7 +27,7 @@ host look larger.
 How it is spread. Pages are parsed where they are read; their nodes are reduced to one row per host
 and digest of the page, and counts per host, node and value are added up by Spark, both partially
 before the shuffle. Only nodes to be removed are listed per host, and pages
-are joined with their host's list; a hot host is split by skew handling, as nothing gathers its pages.
+are joined with their host's list, which is broadcast while small; beyond that a hot host is split by skew handling, as nothing gathers its pages.
 
 Edge cases. A missing page is empty text; a missing URL is a host of its own; repeated rows count
 as one page of the host and give a row each; broken markup is read as far as it goes; elements more
@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymark.llm import frames
+from tallymark.operators.staging import stage
 
 MIN_IMPORTANCE = 0.05
 MIN_PAGES = 20
@@ -307,7 +308,8 @@ def extract(
         frames.plain_text(pages, html_column).alias("html"),
     )
     low = style_tree(rows).where((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
-    lists = low.groupBy("host").agg(F.collect_list("path").alias("removed"))
+    # written, so that Spark knows its size and moves it to the pages where it is small enough for that
+    lists = stage(low.groupBy("host").agg(F.collect_list("path").alias("removed")), "html")
     schema = T.StructType([rows.schema["page_id"], rows.schema["url"], T.StructField("text", T.StringType())])
     found = rows.join(lists, "host", "left").mapInArrow(_cut, schema)
     return found.withColumn("n_chars", F.length("text").cast("long"))
