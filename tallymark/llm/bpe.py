@@ -287,12 +287,16 @@ def encode_texts(
     head = F.lead("head").over(in_order)
     shared = F.array_min(F.array_intersect(F.transform("tail", lambda p: p - chunk_chars), head))
     pairs = stage(bounds.select("row", "chunk", shared.alias("found"), head.isNull().alias("last")), "bpe")
-    open_pairs = pairs.where("found is null and not last").select("row", "chunk")
-    following = chunks.select("row", (F.col("chunk") - 1).alias("chunk"), F.col("text").alias("next"))
+    # Few pairs are open. As a table of its own their list is known to be small before the texts are
+    # planned, so that only the texts on it are shuffled.
+    open_pairs = stage(pairs.where("found is null and not last").select("row", "chunk"), "bpe")
+    sides = open_pairs.select("row", F.col("chunk").alias("first"), F.explode(F.array("chunk", F.col("chunk") + 1)).alias("chunk"))
+    own = F.col("chunk") == F.col("first")
     later = (
         chunks.select("row", "chunk", "text")
-        .join(open_pairs, ["row", "chunk"])
-        .join(following, ["row", "chunk"])
+        .join(sides, ["row", "chunk"])
+        .groupBy("row", F.col("first").alias("chunk"))
+        .agg(F.max(F.when(own, F.col("text"))).alias("text"), F.max(F.when(~own, F.col("text"))).alias("next"))
         .mapInArrow(_compare_whole(pattern, chunk_chars), "row long, chunk int, later int")
     )
     pieces = (
