@@ -17,7 +17,7 @@ thousands of near copies is connected by the first round without listing its pai
 
 How it is spread. Hashes go to buckets in sorted, packed lists; the number of buckets grows with the
 input. Joins are plain equi-joins that skew handling can split. Texts are shuffled once, and only to
-fetch candidates.
+fetch candidates, chosen by a bitmap of their keys that the tasks get.
 
 Edge cases. A missing text has no lines; repeated rows are told apart by their place in the input; ties
 cannot occur; an empty table gives no rows; other columns pass through `filtered`. `filtered` drops
@@ -42,6 +42,9 @@ MIN_CHARS = 24
 BUCKET_ENTRIES = 1_500_000
 _FLUSH_CHARS = 1 << 20
 _SEEN = 500_000
+_PIECE_BITS = 1 << 15  # of Spark's bitmaps
+_BITS_PER_LINE = 16
+_MOST_BITS = 1 << 26
 
 
 def normal_lines(text: bytes):
@@ -110,12 +113,12 @@ def _texts(batches):
                 yield texts.raw(i)
 
 
-def _unseen(batches, least: int, seen_limit: int = _SEEN):
-    """Key and normal form of lines that this task has not met lately."""
+def _unseen(batches, least: int, seen_limit: int = _SEEN, wanted=None):
+    """Key and normal form of (wanted) lines that this task has not met lately."""
     seen: set[int] = set()
     for text in _texts(batches):
         for _, key, normal in normal_lines(text):
-            if key not in seen and len(normal) >= least:
+            if key not in seen and len(normal) >= least and (wanted is None or wanted(key)):
                 if len(seen) >= seen_limit:
                     seen.clear()
                 seen.add(key)
@@ -189,10 +192,32 @@ def _meetings(table: pa.Table) -> pa.Table:
     )
 
 
-def _fetch(min_chars: int):
+def _bitmap(lines: DataFrame) -> tuple[bytes, int]:
+    """Bits set at the lowest bits of the keys of these lines, and the number of bits.
+
+    Spark sets them, in pieces of 4096 bytes; no more than `_MOST_BITS` bits reach the driver.
+    """
+    count = lines.agg(F.approx_count_distinct("line")).first()[0]
+    bits = min(_MOST_BITS, max(_PIECE_BITS, 1 << (_BITS_PER_LINE * count).bit_length()))
+    place = F.col("line").bitwiseAND(F.lit(bits - 1).cast("long"))
+    pieces = (
+        lines.groupBy(F.shiftright(place, _PIECE_BITS.bit_length() - 1).cast("int").alias("piece"))
+        .agg(F.bitmap_construct_agg((place % _PIECE_BITS).cast("long")).alias("bits"))
+        .collect()
+    )
+    whole = bytearray(bits // 8)
+    for piece, part in pieces:
+        whole[piece * _PIECE_BITS // 8 : (piece + 1) * _PIECE_BITS // 8] = part
+    return bytes(whole), bits
+
+
+def _fetch(min_chars: int, bitmap, bits: int):
+    """Lines whose place in the bitmap is set: all that are wanted, and a few others."""
+
     def run(batches):
+        marks = bitmap.value
         keys, texts, held = [], [], 0
-        for key, normal in _unseen(batches, min_chars):
+        for key, normal in _unseen(batches, min_chars, wanted=lambda k: marks[(k & (bits - 1)) >> 3] >> (k & 7) & 1):
             keys.append(key)
             texts.append(normal.decode("utf-8", "replace"))
             held += len(normal)
@@ -246,10 +271,14 @@ def line_classes(
         _seed_lists(buckets, edits, min_chars), "bucket int, hashes binary, owners binary, lines binary, parities binary"
     )
     met = stage(lists.groupBy("bucket").applyInArrow(_meetings, "seed long, line long, side int, parities long"), "lines")
-    wanted = met.select("line").distinct()
-    texts = rows.mapInArrow(_fetch(min_chars), "line long, normal string").join(wanted, "line", "left_semi")
+    # A line is asked for if it met another; the texts of others stay where they are. The few that pass
+    # the bitmap unasked cost their shuffle and meet nothing in the joins below.
+    bitmap, bits = _bitmap(met.select("line"))
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    texts = rows.mapInArrow(_fetch(min_chars, sent, bits), "line long, normal string")
     signed = "line long, normal string, pairs_0 long, pairs_1 long"
     texts = stage(texts.dropDuplicates(["line"]).mapInArrow(_sign, signed), "lines")
+    sent.destroy()
 
     def differing(name: str):
         return F.bit_count(F.col(f"{name}_a").bitwiseXOR(F.col(f"{name}_b")))
