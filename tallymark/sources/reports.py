@@ -6,6 +6,8 @@ matter, and then cast.  Identifiers stay text.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -138,10 +140,14 @@ _MANY_FILES = 100_000
 
 
 def _fields(spark: SparkSession, paths: Sequence[str], width: int, multi_line: bool) -> DataFrame:
-    """All lines of CSV files as arrays of text fields, with their file; one field more than ``width``."""
+    """All lines of CSV files as arrays of text fields, with their file; one field more than ``width``.
+
+    A last column is declared and never read: Spark then picks columns by place, and a short line just
+    lacks some.  If all were read, each such line would cost an exception as a malformed one.
+    """
     names = [f"c{i}" for i in range(width + 1)]
     lines = (
-        spark.read.schema(", ".join(f"{name} string" for name in names))
+        spark.read.schema(", ".join(f"{name} string" for name in [*names, "unread"]))
         .option("escape", '"')
         .option("multiLine", multi_line)
         .csv(list(paths))
@@ -172,7 +178,7 @@ def read_csv(
     name of the report) among its fields, trimmed and, for some reports, upper-cased.  Columns
     that are not required and that a file lacks are null.  Doubled quotes are read as one;
     line breaks inside quotes need ``multi_line``, which keeps a file from being split.
-    A file with a value beyond ``width`` columns raises.
+    A file with a value beyond ``width`` columns raises.  The headers are found at the call and staged.
     """
     rows, column = _rows(spark, source, paths, required, multi_line, width)
     return rows.select(
@@ -191,10 +197,15 @@ def _rows(
     lines = _fields(spark, [paths] if isinstance(paths, str) else paths, width, multi_line)
     clean = F.transform("fields", lambda c: F.upper(F.trim(c)) if layout.upper_header else F.trim(c))
     is_header = F.forall(F.array(*map(F.lit, wanted)), lambda name: F.array_contains(clean, name))
-    lines = lines.withColumn("is_header", F.coalesce(is_header, F.lit(False)))
-    headers = lines.filter("is_header and at = 0").select("file", clean.alias("header"))
+    # Few lines hold all names somewhere; only their fields are looked at one by one.
+    text = F.concat_ws("\n", "fields")
+    text = F.upper(text) if layout.upper_header else text
+    likely = functools.reduce(operator.and_, [F.contains(text, F.lit(name)) for name in wanted], F.lit(True))
+    lines = lines.withColumn("is_header", F.when(likely, F.coalesce(is_header, F.lit(False))).otherwise(False))
+    headers = lines.filter("at = 0 and is_header").select("file", clean.alias("header"))
     headers = headers.withColumn("_line", F.monotonically_increasing_id())
-    headers = headers.groupBy("file").agg(F.min_by("header", "_line").alias("header"))
+    # Staged, as a broadcast that has to wait for all lines would run into its time limit.
+    headers = stage(headers.groupBy("file").agg(F.min_by("header", "_line").alias("header")), "headers")
     if len(lines.inputFiles()) <= _MANY_FILES:  # one short row per file
         headers = F.broadcast(headers)
     rows = lines.filter(~F.col("is_header")).join(headers, "file", "left")

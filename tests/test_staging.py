@@ -43,6 +43,18 @@ def test_plain_path_lies_in_the_default_file_system(cluster, tmp_path):
     assert staging.shared_folder(cluster) == f"file:{tmp_path}"
 
 
+ON_A_PLAIN_PATH = [
+    "booking_files",
+]
+
+
+@pytest.mark.parametrize("name", ON_A_PLAIN_PATH)
+def test_queries_on_a_cluster_with_a_plain_path(cluster, tmp_path, name):
+    cluster.conf.set("tallymark.test.folder", str(tmp_path))
+    assert QUERIES[name](cluster, FOLDER).count() > 0
+    assert list(tmp_path.iterdir())
+
+
 def test_checkpoint_folder_of_the_context(cluster, warehouse, tmp_path_factory, monkeypatch):
     place = tmp_path_factory.mktemp("checkpoint")
     monkeypatch.setattr(type(cluster.sparkContext), "getCheckpointDir", lambda self: f"file:{place}")
