@@ -46,6 +46,7 @@ def test_plain_path_lies_in_the_default_file_system(cluster, tmp_path):
 ON_A_PLAIN_PATH = [
     "booking_files",
     "csv_payments",
+    "csv_reimbursements",
 ]
 
 
