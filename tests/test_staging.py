@@ -47,6 +47,7 @@ ON_A_PLAIN_PATH = [
     "booking_files",
     "csv_payments",
     "csv_reimbursements",
+    "csv_returns",
 ]
 
 
