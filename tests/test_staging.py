@@ -48,6 +48,7 @@ ON_A_PLAIN_PATH = [
     "csv_payments",
     "csv_reimbursements",
     "csv_returns",
+    "detail_flags",
 ]
 
 
