@@ -50,6 +50,7 @@ ON_A_PLAIN_PATH = [
     "csv_returns",
     "detail_flags",
     "inventory_reimbursement",
+    "ledger_good_lines",
 ]
 
 
