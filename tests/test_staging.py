@@ -51,6 +51,7 @@ ON_A_PLAIN_PATH = [
     "detail_flags",
     "inventory_reimbursement",
     "ledger_good_lines",
+    "ledger_rejects",
 ]
 
 
