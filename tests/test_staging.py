@@ -52,6 +52,7 @@ ON_A_PLAIN_PATH = [
     "inventory_reimbursement",
     "ledger_good_lines",
     "ledger_rejects",
+    "ledger_with_header_text",
 ]
 
 
