@@ -53,6 +53,7 @@ ON_A_PLAIN_PATH = [
     "ledger_good_lines",
     "ledger_rejects",
     "ledger_with_header_text",
+    "nearest_date_match",
 ]
 
 
