@@ -55,6 +55,7 @@ ON_A_PLAIN_PATH = [
     "ledger_with_header_text",
     "nearest_date_match",
     "returned_to_inventory",
+    "union_ledgers",
 ]
 
 
