@@ -56,6 +56,7 @@ ON_A_PLAIN_PATH = [
     "nearest_date_match",
     "returned_to_inventory",
     "union_ledgers",
+    "shipment_detail",
 ]
 
 
