@@ -57,6 +57,7 @@ ON_A_PLAIN_PATH = [
     "returned_to_inventory",
     "union_ledgers",
     "shipment_detail",
+    "written_flags",
 ]
 
 
