@@ -58,6 +58,7 @@ ON_A_PLAIN_PATH = [
     "union_ledgers",
     "shipment_detail",
     "written_flags",
+    "written_report",
 ]
 
 
