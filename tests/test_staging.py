@@ -59,6 +59,7 @@ ON_A_PLAIN_PATH = [
     "shipment_detail",
     "written_flags",
     "written_report",
+    "written_detail",
 ]
 
 
