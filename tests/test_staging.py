@@ -60,6 +60,7 @@ ON_A_PLAIN_PATH = [
     "written_flags",
     "written_report",
     "written_detail",
+    "written_packing",
 ]
 
 
